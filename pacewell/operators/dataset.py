@@ -59,11 +59,11 @@ def exact_split(df: DataFrame, key_columns=None, test_size: float = TEST_SIZE,
     first = leading_bits(seeded_hash(seed, _key(df, key_columns)))
     top = 2**60 - 1
     cut = select_ranks(df, {"hash": (first, "long", 0, top)},
-                       lambda n: [math.ceil(test_size * n) - 1, n - 1])["hash"]
+                       lambda n: [math.ceil(test_size * n) - 1])["hash"]
     if not cut:
         return df.withColumn("split", F.lit(TRAIN))
-    edge, last = cut
-    wanted = math.ceil(test_size * (last.below + last.equal))
+    edge = cut[0]
+    wanted = math.ceil(test_size * edge.total)
     side = _side(first, edge, wanted)
     if side is not None:
         return df.withColumn("split", side)

@@ -9,7 +9,7 @@ Every pass splits the remaining interval at its own minimum and maximum, so
 the search always ends; readings on a sensor's grid end after the first pass.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +19,15 @@ BUCKETS = 4096
 
 @dataclass(frozen=True)
 class Selected:
-    """A value with its rank range: ``below`` rows are smaller, ``equal`` equal."""
+    """A value; how many of all ``total`` values are smaller, how many equal."""
 
     value: float
     below: int
     equal: int
+    total: int
 
 
-@dataclass
+@dataclass(frozen=True)
 class _Search:
     name: str
     column: Column
@@ -35,11 +36,12 @@ class _Search:
     high: float
     rank: int | None = None
     below: int = 0
+    total: int = 0
 
 
-def _bucket(search: _Search) -> Column:
-    width = F.lit(float(search.high) - float(search.low))
-    part = (search.column - F.lit(search.low).cast(search.kind)).cast("double") / width
+def _bucket(search: _Search, value: Column) -> Column:
+    width = F.lit(float(search.high - search.low))
+    part = (value - F.lit(search.low).cast(search.kind)).cast("double") / width
     return F.least(F.floor(part * BUCKETS).cast("int"), F.lit(BUCKETS - 1))
 
 
@@ -47,17 +49,16 @@ def _count_pass(df: DataFrame, searches: list[_Search]) -> dict[int, list]:
     """Count, minimum and maximum per bucket for all searches in one job."""
     found = {}
     for kind in sorted({s.kind for s in searches}):
-        entries = [
-            F.when(
-                s.column.between(F.lit(s.low).cast(kind), F.lit(s.high).cast(kind)),
-                F.struct(F.lit(i).alias("search"), _bucket(s).alias("bucket"),
-                         s.column.alias("value")),
-            )
-            for i, s in enumerate(searches)
-            if s.kind == kind
-        ]
+        entries = []
+        for i, s in enumerate(searches):
+            if s.kind == kind:
+                inside = s.column.between(F.lit(s.low).cast(kind), F.lit(s.high).cast(kind))
+                value = F.when(inside, s.column)
+                entries.append(F.struct(F.lit(i).alias("search"), _bucket(s, value).alias("bucket"),
+                                        value.alias("value")))
         counted = (
-            df.select(F.inline(F.array_compact(F.array(*entries))))
+            df.select(F.inline(F.array(*entries)))
+            .filter(F.col("value").isNotNull())
             .groupBy("search", "bucket")
             .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"),
                  F.max("value").alias("high"))
@@ -72,9 +73,8 @@ def _narrow(search: _Search, rows) -> Selected | _Search:
     for row in rows:
         if search.rank < seen + row["n"]:
             if row["low"] == row["high"]:
-                return Selected(row["low"], seen, row["n"])
-            return _Search(search.name, search.column, search.kind,
-                           row["low"], row["high"], search.rank, seen)
+                return Selected(row["low"], seen, row["n"], search.total)
+            return replace(search, low=row["low"], high=row["high"], below=seen)
         seen += row["n"]
     raise ValueError(f"rank {search.rank} is outside the {seen} values of {search.name}")
 
@@ -96,10 +96,11 @@ def select_ranks(df: DataFrame, columns: dict[str, tuple], ranks_of) -> dict[str
         total = sum(r["n"] for r in rows)
         order[search.name] = list(ranks_of(total)) if total else []
         for rank in dict.fromkeys(order[search.name]):
-            search.rank = rank
-            pending.append(_narrow(search, rows))
-            if isinstance(pending[-1], Selected):
-                done[search.name][rank] = pending.pop()
+            outcome = _narrow(replace(search, rank=rank, total=total), rows)
+            if isinstance(outcome, Selected):
+                done[search.name][rank] = outcome
+            else:
+                pending.append(outcome)
     while pending:
         # Ranks that fell into the same bucket share one search.
         spans = {}

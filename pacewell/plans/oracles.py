@@ -181,8 +181,8 @@ def _quantiles(keys, phis, where="TRUE"):
     picks = []
     for name, phi in phis.items():
         picks.append(
-            f"round(coalesce(min_by(le0 + (le - le0) * ((CAST({phi} AS DOUBLE) * n - c0) / (c - c0)), i) "
-            f"FILTER (WHERE c >= CAST({phi} AS DOUBLE) * n), 10), 6) AS {name}")
+            f"coalesce(min_by(le0 + (le - le0) * ((CAST({phi} AS DOUBLE) * n - c0) / (c - c0)), i) "
+            f"FILTER (WHERE c >= CAST({phi} AS DOUBLE) * n), 10) AS {name}")
     join_keys = f"({by}window_start)"
     return _with(
         "measured",
@@ -394,12 +394,12 @@ ORACLES = {
         "perf_raw", "SELECT count(*) AS records, count(DISTINCT athlete_id) AS athletes, "
                     "min(record_date) AS first_date, max(record_date) AS last_date FROM perf_raw"),
     "a09_daily_means": _with(
-        "perf_raw", "SELECT record_date, round(avg(performance_score), 6) AS mean_performance_score FROM perf_raw "
+        "perf_raw", "SELECT record_date, round(avg(performance_score), 9) AS mean_performance_score FROM perf_raw "
                     "WHERE performance_score IS NOT NULL GROUP BY 1"),
     "a09_daily_performance": _with(
-        "featured", "SELECT record_date, round(avg(performance_score), 6) AS mean_performance_score, "
-                    "round(avg(sleep_recovery_ratio), 6) AS mean_sleep_recovery_ratio, "
-                    "round(avg(load_stress_ratio), 6) AS mean_load_stress_ratio FROM featured "
+        "featured", "SELECT record_date, round(avg(performance_score), 9) AS mean_performance_score, "
+                    "round(avg(sleep_recovery_ratio), 9) AS mean_sleep_recovery_ratio, "
+                    "round(avg(load_stress_ratio), 9) AS mean_load_stress_ratio FROM featured "
                     "WHERE performance_score IS NOT NULL GROUP BY 1"),
     "a10_series_in_order": _with("predictions", "SELECT id, created_at, performance_score FROM "
                                                 f"({_latest('predictions', 500, 'created_at')})"),

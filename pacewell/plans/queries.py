@@ -33,9 +33,13 @@ def query(fn):
     return fn
 
 
-def _six(df: DataFrame, *columns: str) -> DataFrame:
-    """Aggregates of doubles depend on addition order past the last digits."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+def _six(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    """Aggregates of doubles depend on addition order past the last digits.
+
+    Means of scores often end in a 5 at the seventh digit, where engines round
+    apart; those keep nine digits.
+    """
+    return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
 def _keyed(df: DataFrame, *columns: str) -> DataFrame:
@@ -491,7 +495,7 @@ def a08_history_figures(spark, sf_dir):
 @query
 def a09_daily_means(spark, sf_dir):
     means = analytics.daily_means(_perf(spark, sf_dir))
-    return _six(means, f"mean_{LABEL}")
+    return _six(means, f"mean_{LABEL}", digits=9)
 
 
 @query
@@ -564,7 +568,7 @@ def o03_latency_histogram(spark, sf_dir):
 @query
 def o04_latency_quantiles(spark, sf_dir):
     api = obs.matching(_log(spark, sf_dir), {"job": "api"})
-    return _six(obs.latency_quantiles(api, ["endpoint"]), "p50", "p95")
+    return obs.latency_quantiles(api, ["endpoint"])
 
 
 @query
@@ -602,12 +606,12 @@ def o10_success_ratio(spark, sf_dir):
 @query
 def o11_trainer_quantiles(spark, sf_dir):
     log = obs.matching(_log(spark, sf_dir), {"job": "ml-trainer"})
-    return _six(obs.latency_quantiles(log), "p50", "p95")
+    return obs.latency_quantiles(log)
 
 
 @query
 def o11_overall_p95(spark, sf_dir):
-    return _six(obs.latency_quantiles(_log(spark, sf_dir), phis={"p95": 0.95}), "p95")
+    return obs.latency_quantiles(_log(spark, sf_dir), phis={"p95": 0.95})
 
 
 @query
@@ -650,7 +654,7 @@ def o16_hold_state(spark, sf_dir):
 
 @query
 def o17_high_latency(spark, sf_dir):
-    return _six(alerts.high_latency(_log(spark, sf_dir)), "value")
+    return alerts.high_latency(_log(spark, sf_dir))
 
 
 @query
@@ -719,7 +723,7 @@ def t04_alert_stream(spark, sf_dir):
 def daily_performance(spark, sf_dir):
     """Flagship: clean, features, daily means of label and ratios."""
     means = analytics.daily_means(_engineered(spark, sf_dir), "sleep_recovery_ratio", "load_stress_ratio")
-    return _six(means, *[c for c in means.columns if c != "record_date"])
+    return _six(means, *[c for c in means.columns if c != "record_date"], digits=9)
 
 
 QUERIES["a09_daily_performance"] = daily_performance

@@ -49,6 +49,8 @@ def csv_reader(reader, names=RECORD_COLUMNS, recursive: bool = False):
         .option("enforceSchema", False)
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
+        # Pruned parsing would judge a line by the columns a query happens to use.
+        .option("columnPruning", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", CSV_GLOB)
         .option("recursiveFileLookup", recursive)
