@@ -1,5 +1,7 @@
 """Cleaning, feature and formatting expressions. All run inside the JVM."""
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,23 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def any_of(conditions) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def names_where(conditions: dict[str, Column]) -> Column:
+    """Array of the names whose condition holds.
+
+    Joined from literal arrays, as ``array_compact`` would take the whole
+    projection out of generated code. Rows without any skip the joining.
+    """
+    none = F.array().cast("array<string>")
+    if not conditions:
+        return none
+    parts = [F.when(c, F.array(F.lit(n))).otherwise(none) for n, c in conditions.items()]
+    return F.when(any_of(conditions.values()), F.concat(*parts)).otherwise(none)
+
+
 def clip(c: Column, low: float, high: float) -> Column:
     """Limit to a closed range; a missing value stays missing.
 

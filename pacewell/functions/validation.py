@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pacewell.functions.columns import any_of, names_where
 from pacewell.settings import Length, Present, Range
 
 
@@ -34,6 +35,9 @@ def rule_conditions(profile) -> dict[str, Column]:
 
 def violations(profile) -> Column:
     """Names of the violated rules of a row, in profile order."""
-    return F.array_compact(
-        F.array(*[F.when(bad, F.lit(name)) for name, bad in rule_conditions(profile).items()])
-    )
+    return names_where(rule_conditions(profile))
+
+
+def broken(profile) -> Column:
+    """True if the row violates any rule."""
+    return any_of(rule_conditions(profile).values())

@@ -1,12 +1,12 @@
 """Shape checks, coercion and range validation of incoming records."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pacewell.errors import ValidationError
-from pacewell.functions.columns import nan_to_null
-from pacewell.functions.validation import rule_conditions, violations
+from pacewell.functions.columns import names_where, nan_to_null
+from pacewell.functions.validation import broken, rule_conditions, violations
 from pacewell.schemas import CRITICAL, OPTIONAL, REQUIRED
 from pacewell.settings import MAX_BATCH_RECORDS, PROFILES
 
@@ -25,17 +25,8 @@ def require_columns(df: DataFrame, required=REQUIRED) -> DataFrame:
     return df
 
 
-def _coerced(df: DataFrame, name: str, target: str, strict: bool):
-    if name not in df.columns:
-        return F.lit(None).cast(target)
-    source = F.col(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
-        # Text files write a missing value as nothing at all.
-        source = F.when(F.trim(source) != "", source)
-    if target != "string":
-        source = F.trim(source) if df.schema[name].dataType == T.StringType() else source
-    value = source.cast(target) if strict else source.try_cast(target)
-    return nan_to_null(value) if target == "double" else value
+_TARGETS = {"athlete_id": "string", "record_date": "date",
+            **{c: "double" for c in [*CRITICAL, *OPTIONAL]}}
 
 
 def coerce(df: DataFrame, strict: bool = True) -> DataFrame:
@@ -43,21 +34,31 @@ def coerce(df: DataFrame, strict: bool = True) -> DataFrame:
 
     Strict casts fail the job on the first value that does not parse. Lenient
     casts give NULL and name the column in ``parse_failed``. Optional fields
-    that are absent become NULL columns.
+    that are absent become NULL columns. Empty text is a missing value.
     """
     require_columns(df)
-    targets = {"athlete_id": "string", "record_date": "date"}
-    targets.update({c: "double" for c in [*CRITICAL, *OPTIONAL]})
-    typed = {c: _coerced(df, c, t, strict) for c, t in targets.items()}
+    texts = [c for c in _TARGETS if c in df.columns
+             and isinstance(df.schema[c].dataType, T.StringType)]
+    raw = {c: f"_raw_{c}" for c in texts}
+    present = df.withColumns({raw[c]: F.nullif(F.trim(c), F.lit("")) for c in texts})
+
+    def typed(c):
+        target = _TARGETS[c]
+        if c not in df.columns:
+            return F.lit(None).cast(target)
+        if target == "string" and c in raw:
+            return F.when(F.col(raw[c]).isNotNull(), F.col(c))
+        source = F.col(raw.get(c, c))
+        return source.cast(target) if strict else source.try_cast(target)
+
+    # One projection per step: each value is parsed once, then looked at.
+    out = present.withColumns({c: typed(c) for c in _TARGETS})
+    doubles = [c for c in _TARGETS if _TARGETS[c] == "double"]
+    nan_free = {c: nan_to_null(F.col(c)) for c in doubles}
     if not strict:
-        texts = [c for c in targets if c in df.columns
-                 and isinstance(df.schema[c].dataType, T.StringType)]
-        typed[PARSE_FAILED] = F.array_compact(F.array(
-            *[F.when(typed[c].isNull() & (F.trim(F.col(c)) != "")
-                     & ~F.lower(F.trim(F.col(c))).isin("nan"), F.lit(c))
-              for c in texts if targets[c] != "string"]
-        )).cast("array<string>")
-    return df.withColumns(typed)
+        nan_free[PARSE_FAILED] = names_where({
+            c: F.col(raw[c]).isNotNull() & F.col(c).isNull() for c in texts if _TARGETS[c] != "string"})
+    return out.withColumns(nan_free).drop(*raw.values())
 
 
 def with_violations(df: DataFrame, profile: str = "ingest") -> DataFrame:
@@ -65,10 +66,16 @@ def with_violations(df: DataFrame, profile: str = "ingest") -> DataFrame:
     found = violations(PROFILES[profile])
     if PARSE_FAILED in df.columns:
         unparsed = F.transform(F.col(PARSE_FAILED), lambda c: F.concat(c, F.lit("_unparsed")))
-        found = F.concat(unparsed, found)
+        found = F.when(F.size(PARSE_FAILED) > 0, F.concat(unparsed, found)).otherwise(found)
     return df.withColumn("violations", found)
 
 
+def is_bad(df: DataFrame, profile: str = "ingest") -> Column:
+    """True for a row that breaks a rule or did not parse."""
+    bad = broken(PROFILES[profile])
+    return bad | (F.size(PARSE_FAILED) > 0) if PARSE_FAILED in df.columns else bad
+
+
 def violation_counts(df: DataFrame, profile: str = "ingest") -> DataFrame:
     """Rows breaking each rule, zero included: one aggregate, then unpivot."""
     rules = rule_conditions(PROFILES[profile])
@@ -77,10 +84,9 @@ def violation_counts(df: DataFrame, profile: str = "ingest") -> DataFrame:
 
 
 def split_valid(df: DataFrame, profile: str = "ingest") -> tuple[DataFrame, DataFrame]:
-    """Good and bad rows; the bad ones keep their ``violations``."""
-    checked = with_violations(df, profile)
-    broken = F.size("violations") > 0
-    return checked.filter(~broken).drop("violations", PARSE_FAILED), checked.filter(broken)
+    """Good and bad rows; only the bad ones get their ``violations``."""
+    bad = is_bad(df, profile)
+    return df.filter(~bad).drop(PARSE_FAILED), with_violations(df.filter(bad), profile)
 
 
 def require_valid(df: DataFrame, profile: str = "ingest") -> DataFrame:

@@ -43,12 +43,8 @@ def windowed(log: DataFrame, keys, width: int, counts: list[Column],
     pane = slide or width
     if width % pane:
         raise ValueError("slide must divide width")
-    panes = (
-        log.groupBy(F.window(ts, f"{pane} seconds").alias("_pane"), *keys)
-        .agg(*counts)
-        .withColumn("window_start", F.col("_pane.start"))
-        .drop("_pane")
-    )
+    start = F.window(ts, f"{pane} seconds").start.alias("window_start")
+    panes = log.groupBy(start, *keys).agg(*counts)
     if pane == width:
         return panes
     names = [c for c in panes.columns if c not in (*keys, "window_start")]
@@ -125,8 +121,9 @@ def latency_quantiles(log: DataFrame, keys=(), width: int | None = 300,
 
 def last_known(df: DataFrame, keys, value: str, ts: str, *ties: str) -> DataFrame:
     """Newest value that is not NULL, per series."""
-    return df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.max_by(value, F.struct(ts, *ties)).alias(value))
+    # A plain sort key keeps the aggregate hash-based; a struct makes it sort.
+    order = F.struct(ts, *ties) if ties else F.col(ts)
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.max_by(value, order).alias(value))
 
 
 def services_up(samples: DataFrame, pattern: str) -> DataFrame:
@@ -135,19 +132,26 @@ def services_up(samples: DataFrame, pattern: str) -> DataFrame:
     return newest.agg(F.sum("up").alias("services_up"))
 
 
-def time_grid(df: DataFrame, ts: str, step: int, labels: dict[str, list[str]]) -> DataFrame:
+def time_grid(df: DataFrame, ts: str, step: int, labels: dict[str, list[str]],
+              block: int = 1000) -> DataFrame:
     """A row per step between first and last row, for every label value.
 
     Fills silent periods: a left join from the grid has rows where the data
-    has none. Its size depends on the time range, not on the rows.
+    has none. Its size depends on the time range, not on the rows. Blocks of
+    steps are spread over the partitions before they are expanded.
     """
-    unit = F.expr(f"INTERVAL '{step}' SECOND")
 
-    def floored(c):
-        return F.timestamp_seconds((F.floor(F.unix_seconds(c.cast("timestamp")) / step) * step).cast("long"))
+    def position(c):
+        return F.floor(F.unix_seconds(c.cast("timestamp")) / step).cast("long")
 
-    ends = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    grid = ends.select(F.explode(F.sequence(floored(F.col("lo")), floored(F.col("hi")), unit)).alias(ts))
+    ends = df.agg(position(F.min(ts)).alias("lo"), position(F.max(ts)).alias("hi"))
+    blocks = ends.select("hi", F.explode(F.sequence("lo", "hi", F.lit(block))).alias("first"))
+    steps = F.sequence("first", F.least(F.col("hi"), F.col("first") + (block - 1)))
+    grid = (
+        blocks.repartition("first")
+        .select(F.explode(steps).alias("n"))
+        .select(F.timestamp_seconds(F.col("n") * step).alias(ts))
+    )
     for name, values in labels.items():
         grid = grid.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
     return grid

@@ -49,15 +49,16 @@ def _count_pass(df: DataFrame, searches: list[_Search]) -> dict[int, list]:
     """Count, minimum and maximum per bucket for all searches in one job."""
     found = {}
     for kind in sorted({s.kind for s in searches}):
-        entries = []
-        for i, s in enumerate(searches):
-            if s.kind == kind:
-                inside = s.column.between(F.lit(s.low).cast(kind), F.lit(s.high).cast(kind))
-                value = F.when(inside, s.column)
-                entries.append(F.struct(F.lit(i).alias("search"), _bucket(s, value).alias("bucket"),
-                                        value.alias("value")))
+        mine = [(i, s) for i, s in enumerate(searches) if s.kind == kind]
+        # The searched columns are projected first: an expensive one, such as
+        # a digest, is then computed once per row and not once per mention.
+        values = df.select(*[
+            F.when(s.column.between(F.lit(s.low).cast(kind), F.lit(s.high).cast(kind)),
+                   s.column).alias(f"v{i}") for i, s in mine])
+        entries = [F.struct(F.lit(i).alias("search"), _bucket(s, F.col(f"v{i}")).alias("bucket"),
+                            F.col(f"v{i}").alias("value")) for i, s in mine]
         counted = (
-            df.select(F.inline(F.array(*entries)))
+            values.select(F.inline(F.array(*entries)))
             .filter(F.col("value").isNotNull())
             .groupBy("search", "bucket")
             .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"),

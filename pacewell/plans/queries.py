@@ -211,9 +211,9 @@ def v06_rules_predict(spark, sf_dir):
 
 @query
 def v07_batch_policy(spark, sf_dir):
-    checked = intake.with_violations(_perf(spark, sf_dir), "ingest")
-    verdict = F.when(F.size("violations") > 0, "bad").otherwise("good")
-    return checked.groupBy(verdict.alias("verdict")).agg(F.count(F.lit(1)).alias("n_rows"))
+    records = _perf(spark, sf_dir)
+    verdict = F.when(intake.is_bad(records, "ingest"), "bad").otherwise("good")
+    return records.groupBy(verdict.alias("verdict")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # Cleaning
@@ -349,7 +349,7 @@ def _model_path(spark, sf_dir):
 
 @query
 def m03_forest_fit(spark, sf_dir):
-    rows = _split(spark, sf_dir)
+    rows = models.more_partitions(_split(spark, sf_dir).select("split", *FEATURES, LABEL))
     fitted = models.fit(rows.filter("split = 'train'"), SMALL_FOREST)
     forest = fitted.stages[-1]
     return metrics.evaluate(models.score(fitted, rows)).withColumns({
@@ -359,7 +359,8 @@ def m03_forest_fit(spark, sf_dir):
 @query
 def m04_batch_predict(spark, sf_dir):
     model = models.load(_model_path(spark, sf_dir))
-    return _keyed(models.score(model, _engineered(spark, sf_dir)), "prediction")
+    rows = features.align(_engineered(spark, sf_dir), "record_key")
+    return _keyed(models.score(model, models.more_partitions(rows)), "prediction")
 
 
 @query

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from pacewell.functions.columns import names_where
 from pacewell.functions.histogram import cumulative_counts
 from pacewell.operators.alerts import evaluate
-from pacewell.operators.intake import PARSE_FAILED, coerce, with_violations
+from pacewell.operators.intake import PARSE_FAILED, coerce, is_bad, with_violations
 from pacewell.operators.timeline import closing_state
 from pacewell.plans.scoring import features_for
 from pacewell.plans import model as models
@@ -36,24 +37,22 @@ def csv_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
 def intake_stream(records: DataFrame, good_path: str, bad_path: str, checkpoint: str,
                   profile: str = "ingest", trigger=None):
     """Coerces and validates records; good and bad rows go to two tables."""
-    checked = with_violations(coerce(records, strict=False), profile)
-    if CORRUPT in records.columns:
-        damaged = F.when(F.col(CORRUPT).isNotNull(), F.lit("damaged_line"))
-        checked = checked.withColumn(
-            "violations", F.array_compact(F.concat(F.array(damaged), "violations")))
+    typed = coerce(records, strict=False)
+    damaged = F.col(CORRUPT).isNotNull() if CORRUPT in records.columns else F.lit(False)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            broken = F.size("violations") > 0
-            good = batch.filter(~broken).drop("violations", PARSE_FAILED, CORRUPT)
-            good.withColumn("created_at", F.current_timestamp()).write.mode(
-                "overwrite").parquet(_batch_path(good_path, batch_id))
-            batch.filter(broken).write.mode("overwrite").parquet(_batch_path(bad_path, batch_id))
-        finally:
-            batch.unpersist()
-
-    return (checked.writeStream.foreachBatch(write)
+        # The two filters read the micro-batch twice; a cached copy of it
+        # would cost more than the second, cheap pass.
+        bad = is_bad(batch, profile) | damaged
+        good = batch.filter(~bad).drop(PARSE_FAILED, CORRUPT)
+        good.withColumn("created_at", F.current_timestamp()).write.mode("overwrite").parquet(
+            _batch_path(good_path, batch_id))
+        marks = names_where({"damaged_line": damaged})
+        rejected = with_violations(batch.filter(bad), profile)
+        rejected.withColumn("violations", F.concat(marks, "violations")).write.mode(
+            "overwrite").parquet(_batch_path(bad_path, batch_id))
+
+    return (typed.writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or CAUGHT_UP)).start())
 
 
