@@ -37,7 +37,7 @@ def evaluate(values: DataFrame, rule: AlertRule, keys=(), ts: str = "ts", value:
 
 
 def service_down(samples: DataFrame, rule: AlertRule = SERVICE_DOWN,
-                 slice_seconds: int | None = 86400) -> DataFrame:
+                 slice_seconds: int | None = 3600) -> DataFrame:
     """Raw samples can be many per job, so the series are cut into slices."""
     known = matching(samples, patterns={"job": "|".join(SERVICES)})
     return evaluate(known, rule, ["job"], value="up", slice_seconds=slice_seconds)

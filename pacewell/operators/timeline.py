@@ -35,7 +35,7 @@ def _inherit(rows: DataFrame, chained: DataFrame, keys, columns) -> DataFrame:
     return rows.join(chained.select(*on, *columns), on, "left")
 
 
-def running_number(df: DataFrame, keys, ts: str, ties=(), slice_seconds: int = 3600,
+def running_number(df: DataFrame, keys, ts: str, ties=(), slice_seconds: int = 60,
                    name: str = "n") -> DataFrame:
     """Row number along each series, as ``row_number`` would give it."""
     rows = _sliced(_labelled(df, keys), ts, slice_seconds)

@@ -706,7 +706,7 @@ def t03_scoring_stream(spark, sf_dir):
     requests = _complete(records).withColumn("prediction_date", F.col("record_date"))
     _finish(streams.scoring_stream(requests, _model_path(spark, sf_dir), f"{path}/log",
                                    f"{path}/checkpoint"))
-    log = spark.read.parquet(f"{path}/log")
+    log = tables.load_predictions(spark, f"{path}/log")
     return log.groupBy("prediction_date", "model_version").agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg("performance_score").alias("mean_score"))
 

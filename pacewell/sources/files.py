@@ -1,5 +1,6 @@
 """CSV and JSON intake files."""
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,13 +89,17 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_json_batches(df: DataFrame, path: str, batch_size: int = MAX_BATCH_RECORDS) -> None:
     """Documents of at most ``batch_size`` records; missing values are omitted.
 
-    Batches are runs of consecutive rows of a partition, so no value of the
-    data can make one larger than asked for.
+    Spark renders the records; a task only joins consecutive ones into
+    documents. Nothing is shuffled, and no value of the data can make a
+    document larger than asked for.
     """
-    record = F.struct(*RECORD_COLUMNS)
-    (
-        df.select(record.alias("r"), F.floor(F.monotonically_increasing_id() / batch_size).alias("b"))
-        .groupBy("b").agg(F.collect_list("r").alias("records"))
-        .select("records").write.mode("errorifexists").json(path)
-    )
 
+    def documents(frames):
+        for frame in frames:
+            for start in range(0, len(frame), batch_size):
+                records = ",".join(frame["record"].iloc[start:start + batch_size])
+                yield pd.DataFrame({"value": [f'{{"records":[{records}]}}']})
+
+    record = F.to_json(F.struct(*RECORD_COLUMNS), {"ignoreNullFields": "true"})
+    rendered = df.select(record.alias("record"))
+    rendered.mapInPandas(documents, "value string").write.mode("errorifexists").text(path)

@@ -28,20 +28,29 @@ def _shaped(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def performance_rows(records: DataFrame) -> DataFrame:
+    """Records as rows of the performance table."""
+    return _shaped(_stamped(records), PERFORMANCE)
+
+
 def append_performance(records: DataFrame, path: str, by_month: bool = False) -> int:
     """Appends records and returns their number, counted while writing.
 
     ``by_month`` lays the table out by month of ``record_date``. The rebalance
-    hint lets Spark split a month that is too large for one task.
+    hint lets Spark split a month that is too large for one task. Ids are given
+    after that shuffle, so that a repeated task cannot hand one out twice.
     """
     seen = Observation()
-    rows = _shaped(_stamped(records), PERFORMANCE).observe(seen, F.count(F.lit(1)).alias("n"))
     if by_month:
-        month = F.date_format("record_date", "yyyy-MM")
-        rows = rows.withColumn(MONTH, month).hint("rebalance", MONTH)
-        rows.write.mode("append").partitionBy(MONTH).parquet(path)
+        records = records.withColumn(MONTH, F.date_format("record_date", "yyyy-MM"))
+        records = records.hint("rebalance", MONTH)
+        month = [F.col(MONTH)]
     else:
-        rows.write.mode("append").parquet(path)
+        month = []
+    rows = _stamped(records).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in PERFORMANCE.fields], *month)
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
+    (writer.partitionBy(MONTH) if by_month else writer).parquet(path)
     return seen.get["n"]
 
 
@@ -66,10 +75,14 @@ def prediction_rows(scored: DataFrame, score: str = "prediction",
         F.create_map(*pairs).alias("features_used"), F.lit(version).alias("model_version"))
 
 
+def log_rows(rows: DataFrame) -> DataFrame:
+    """Prediction rows as rows of the prediction log."""
+    return _shaped(_stamped(rows), PREDICTIONS)
+
+
 def append_predictions(rows: DataFrame, path: str) -> int:
     seen = Observation()
-    out = _shaped(_stamped(rows), PREDICTIONS).observe(seen, F.count(F.lit(1)).alias("n"))
-    out.write.mode("append").parquet(path)
+    log_rows(rows).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
     return seen.get["n"]
 
 

@@ -12,13 +12,13 @@ from pyspark.storagelevel import StorageLevel
 from pacewell.functions.columns import names_where
 from pacewell.functions.histogram import cumulative_counts
 from pacewell.operators.alerts import evaluate
-from pacewell.operators.intake import PARSE_FAILED, coerce, is_bad, with_violations
+from pacewell.operators.intake import coerce, is_bad, with_violations
 from pacewell.operators.timeline import closing_state
-from pacewell.plans.scoring import features_for
 from pacewell.plans import model as models
+from pacewell.plans.scoring import features_for
 from pacewell.settings import LATENCY_BOUNDS, MODEL_VERSION, AlertRule
 from pacewell.sources.files import CORRUPT, csv_reader
-from pacewell.sources.tables import prediction_rows
+from pacewell.sources.tables import log_rows, performance_rows, prediction_rows
 
 CAUGHT_UP = {"availableNow": True}
 
@@ -44,8 +44,7 @@ def intake_stream(records: DataFrame, good_path: str, bad_path: str, checkpoint:
         # The two filters read the micro-batch twice; a cached copy of it
         # would cost more than the second, cheap pass.
         bad = is_bad(batch, profile) | damaged
-        good = batch.filter(~bad).drop(PARSE_FAILED, CORRUPT)
-        good.withColumn("created_at", F.current_timestamp()).write.mode("overwrite").parquet(
+        performance_rows(batch.filter(~bad)).write.mode("overwrite").parquet(
             _batch_path(good_path, batch_id))
         marks = names_where({"damaged_line": damaged})
         rejected = with_violations(batch.filter(bad), profile)
@@ -101,7 +100,7 @@ def scoring_stream(requests: DataFrame, model_path: str, log_path: str, checkpoi
     """Scores a stream of requests into the prediction log."""
     model = models.load(model_path)
     scored = models.score(model, features_for(requests, fill_values))
-    rows = prediction_rows(scored, version=version).withColumn("created_at", F.current_timestamp())
+    rows = log_rows(prediction_rows(scored, version=version))
     return append_stream(rows, log_path, checkpoint, trigger)
 
 

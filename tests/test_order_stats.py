@@ -15,7 +15,7 @@ def frame(spark, values, kind="double"):
     return spark.createDataFrame([(v,) for v in values], f"x {kind}")
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.one_of(st.none(), st.floats(0, 200, allow_nan=False, width=32)), min_size=1, max_size=60))
 def test_median_equals_sorting(spark, values):
     known = [v for v in values if v is not None]
