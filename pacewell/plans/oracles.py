@@ -351,6 +351,11 @@ ORACLES = {
                   + " FROM parted CROSS JOIN wide",
         ("wide", "SELECT " + ", ".join(f"avg({f}) AS mean_{f}, stddev_pop({f}) AS std_{f}" for f in FEATURES)
                  + " FROM parted WHERE split = 'train'")),
+    "s10_model_store": _with("parted", "SELECT count(*) AS n_rows, count(*) AS n_equal FROM parted"),
+    "m13_train_job": _with(
+        "parted", "SELECT 'completed' AS status, '1.0' AS model_version, (SELECT count(*) FROM parted) AS samples_used, "
+                  "concat(side, '_', name) AS metric, 1 AS is_good FROM (VALUES ('train'), ('test')) AS s(side) "
+                  "CROSS JOIN (VALUES ('mae'), ('rmse'), ('r2')) AS m(name)"),
     "m06_mae": _one_metric("mae"),
     "m07_rmse": _one_metric("rmse"),
     "m08_r2": _one_metric("r2"),
@@ -492,6 +497,9 @@ ORACLES = {
     "t02_rate_stream": f"SELECT * FROM ({_TITLED_RATES}) WHERE window_start + INTERVAL 5 MINUTE <= "
                        f"({_with('measured', 'SELECT max(ts) - INTERVAL 10 MINUTE FROM measured')} "
                        "WHERE job = 'api')",
+    "t03_scoring_stream": _with(
+        "perf_raw", "SELECT athlete_id, record_date AS prediction_date, '1.0' AS model_version, count(*) AS n_rows, "
+                    f"count(*) AS n_possible FROM perf_raw WHERE {CRITICAL_PRESENT} GROUP BY ALL"),
     "t04_alert_stream": f"SELECT * FROM ({_ERROR_ALERT}) WHERE window_start + INTERVAL 5 MINUTE <= "
                         f"({_with('measured', 'SELECT max(ts) - INTERVAL 10 MINUTE FROM measured')} "
                         "WHERE job = 'api')",

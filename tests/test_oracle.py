@@ -28,8 +28,6 @@ def test_query_without_sql_has_rows(spark, name):
 
 
 def test_model_query_invariants(spark):
-    stored = QUERIES["s10_model_store"](spark, SF_DIR).first()
-    assert stored["n_rows"] == stored["n_equal"] > 0
     groups = {r["split"]: r for r in QUERIES["m03_forest_fit"](spark, SF_DIR).collect()}
     assert groups["test"]["r2"] > 0.7
 
