@@ -119,6 +119,25 @@ def latency_quantiles(log: DataFrame, keys=(), width: int | None = 300,
     return histogram.select(*by, *[quantile(p, bounds, counts).alias(n) for n, p in phis.items()])
 
 
+def quantiles_of_buckets(increases: DataFrame, keys=(), phis: dict[str, float] | None = None,
+                         bounds=LATENCY_BOUNDS, value: str = "increase") -> DataFrame:
+    """Quantiles from bucket counters: ``le`` rows summed over other labels.
+
+    ``increases`` has one row per series, bucket and window, as
+    ``counter_increase`` gives them. Bounds are matched as numbers.
+    """
+    phis = phis or {"p50": 0.5, "p95": 0.95}
+    bound = F.col("le").try_cast("double")
+    names = bucket_columns(bounds)
+    sums = [F.sum(F.when(bound == F.lit(float(b)), F.col(value))).alias(n)
+            for b, n in zip(bounds, names)]
+    sums.append(F.sum(F.when(F.col("le") == "+Inf", F.col(value))).alias(names[-1]))
+    wide = increases.groupBy(*keys, "window_start").agg(*sums)
+    counts = [F.coalesce(n, F.lit(0)) for n in names]
+    return wide.select(*keys, "window_start",
+                       *[quantile(p, bounds, counts).alias(n) for n, p in phis.items()])
+
+
 def last_known(df: DataFrame, keys, value: str, ts: str, *ties: str) -> DataFrame:
     """Newest value that is not NULL, per series."""
     # A plain sort key keeps the aggregate hash-based; a struct makes it sort.

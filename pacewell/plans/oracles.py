@@ -256,6 +256,11 @@ _ALL_FIELDS = ", ".join(f"{c} DESC" for c in
                         ("record_date", "record_key", "athlete_id", *CRITICAL.split(", "),
                          "resting_heart_rate", "hrv", "performance_score"))
 
+_HISTORY_PAGE = (
+    ("page", f"SELECT * FROM perf_raw ORDER BY {_ALL_FIELDS} LIMIT 5000"),
+    ("chosen", "SELECT * FROM page WHERE athlete_id IN (SELECT DISTINCT athlete_id FROM page ORDER BY 1 LIMIT 5)"),
+)
+
 _STATS = " UNION ALL ".join(
     f"SELECT '{f}' AS feature, avg({f}) AS mean, stddev_pop({f}) AS std FROM parted WHERE split = 'train'"
     for f in FEATURES)
@@ -406,6 +411,16 @@ ORACLES = {
                     "round(avg(sleep_recovery_ratio), 9) AS mean_sleep_recovery_ratio, "
                     "round(avg(load_stress_ratio), 9) AS mean_load_stress_ratio FROM featured "
                     "WHERE performance_score IS NOT NULL GROUP BY 1"),
+    "a09_history_page": _with(
+        "perf_raw", "SELECT record_date, 'performance_score' AS series, round(avg(performance_score), 9) AS value "
+                    "FROM chosen WHERE performance_score IS NOT NULL GROUP BY 1", *_HISTORY_PAGE),
+    "a08_history_page_figures": _with(
+        "perf_raw", "SELECT count(*) AS records, count(DISTINCT athlete_id) AS athletes, "
+                    "min(record_date) AS first_date, max(record_date) AS last_date FROM chosen", *_HISTORY_PAGE),
+    "a05_training_page_figures": _with(
+        "run_metrics", "SELECT model_version, "
+                       + ", ".join(f"coalesce(printf('%.3f', {m}), 'N/A') AS {m}" for m in _RUN_METRICS)
+                       + f" FROM ({_latest('run_metrics', 1, 'run_date')})"),
     "a10_series_in_order": _with("predictions", "SELECT id, created_at, performance_score FROM "
                                                 f"({_latest('predictions', 500, 'created_at')})"),
     "a11_melted_runs": _with("run_metrics", " UNION ALL ".join(
@@ -448,6 +463,8 @@ ORACLES = {
                     "WHERE job = 'api' AND endpoint = '/train' AND status = '200' GROUP BY 1"),
     "o08_requests_per_minute": _with("measured", f"SELECT {_bucket(5)} AS window_start, {_rate(5, ' * 60')} "
                                                  "FROM measured GROUP BY 1"),
+    "o08_requests_per_second": _with("measured", f"SELECT {_bucket(5)} AS window_start, {_rate(5)} "
+                                                 "FROM measured GROUP BY 1"),
     "o09_rate_by_endpoint": _with(
         "measured", f"SELECT job, endpoint, {_bucket(5)} AS window_start, {_rate(5)} FROM measured "
                     "WHERE job IN ('data-ingestion', 'ml-trainer') GROUP BY ALL"),

@@ -11,7 +11,7 @@ from pacewell.operators import observability as obs
 from pacewell.operators import scaling
 from pacewell.operators.timeline import counter_increase, hold_state
 from pacewell.plans import model as models
-from pacewell.plans import scoring, training
+from pacewell.plans import dashboard, scoring, training
 from pacewell.plans.model import ForestSettings
 from pacewell.schemas import CRITICAL, FEATURES, LABEL, RECORD_COLUMNS, SENSORS
 from pacewell.session import scratch_path
@@ -503,6 +503,23 @@ def a09_daily_means(spark, sf_dir):
     return _six(means, f"mean_{LABEL}", digits=9)
 
 
+@query
+def a09_history_page(spark, sf_dir):
+    ties = ("record_key", *[c for c in RECORD_COLUMNS if c != "record_date"])
+    return _six(dashboard.history_page(_perf(spark, sf_dir), ties=ties).series, "value", digits=9)
+
+
+@query
+def a08_history_page_figures(spark, sf_dir):
+    ties = ("record_key", *[c for c in RECORD_COLUMNS if c != "record_date"])
+    return dashboard.history_page(_perf(spark, sf_dir), ties=ties).figures
+
+
+@query
+def a05_training_page_figures(spark, sf_dir):
+    return dashboard.training_page(views.training_runs(spark, sf_dir)).figures
+
+
 @query
 def a10_series_in_order(spark, sf_dir):
     page = analytics.latest(views.predictions(spark, sf_dir), 500, "created_at", "id")
@@ -597,6 +614,11 @@ def o08_requests_per_minute(spark, sf_dir):
     return obs.request_rate(_log(spark, sf_dir), scale=60.0)
 
 
+@query
+def o08_requests_per_second(spark, sf_dir):
+    return obs.request_rate(_log(spark, sf_dir))
+
+
 @query
 def o09_rate_by_endpoint(spark, sf_dir):
     log = obs.matching(_log(spark, sf_dir), patterns={"job": "data-ingestion|ml-trainer"})

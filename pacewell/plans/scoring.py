@@ -1,12 +1,12 @@
 """Scoring: requests to logged predictions and rounded answers."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewell.operators.features import request_defaults, serving_features
 from pacewell.plans import model as models
 from pacewell.schemas import SENSORS
-from pacewell.settings import MODEL_VERSION
+from pacewell.settings import MODEL_VERSION, SERVING_DEFAULTS
 from pacewell.sources.tables import append_predictions, prediction_rows
 
 
@@ -46,3 +46,14 @@ def score_job(requests: DataFrame, model_path: str, log_path: str | None = None,
     if log_path:
         append_predictions(rows, log_path)
     return answers(rows)
+
+
+def score_record(spark: SparkSession, model_path: str, features: dict[str, float],
+                 fill_values: dict[str, float] | None = None,
+                 version: str = MODEL_VERSION) -> tuple[float, str]:
+    """One request through the batch path: rounded score and model version."""
+    row = spark.createDataFrame(
+        [tuple(None if features.get(c) is None else float(features[c]) for c in SERVING_DEFAULTS)],
+        ", ".join(f"{c} double" for c in SERVING_DEFAULTS))
+    scored = models.score(models.load(model_path), features_for(row, fill_values))
+    return scored.select(models.rounded().alias("score")).first()["score"], version

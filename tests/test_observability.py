@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from pacewell.functions.histogram import bucket_columns, quantile
 from pacewell.operators import analytics
 from pacewell.operators import observability as obs
+from pacewell.operators.timeline import counter_increase
+from pacewell.plans import dashboard
 
 START = datetime(2024, 1, 1)
 
@@ -47,6 +49,22 @@ def test_quantile_range():
         quantile(0.0, (1.0,), [F.lit(1), F.lit(1)])
 
 
+def test_quantiles_of_bucket_counters(spark, log):
+    """Scraped bucket counters give what the requests behind them give."""
+    bounds = (0.5, 1.0, 2.5, 5.0)
+    rows = [r for r in log.orderBy("ts").collect()]
+    counts, samples = {}, [("api", b, START - timedelta(seconds=1), 0) for b in ("0.5", "1.0", "2.5", "5.0", "+Inf")]
+    for r in rows:
+        for label, bound in zip(("0.5", "1.0", "2.5", "5.0", "+Inf"), (*bounds, float("inf"))):
+            counts[label] = counts.get(label, 0) + (r["duration"] <= bound)
+            samples.append(("api", label, r["ts"], counts[label]))
+    scraped = spark.createDataFrame(samples, "job string, le string, ts timestamp, v long")
+    increases = counter_increase(scraped, ["job", "le"], "ts", "v", 300)
+    got = obs.quantiles_of_buckets(increases.filter(F.col("window_start") >= F.lit(START)), bounds=bounds)
+    expected = obs.latency_quantiles(log, bounds=bounds)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
 def test_probe_paths_do_not_count(log):
     assert obs.measured(log).filter("endpoint LIKE '/metrics%'").isEmpty()
     assert obs.measured(log).count() == 160
@@ -107,3 +125,22 @@ def test_athlete_filter(golden):
 def test_melt_ignores_absent_columns(golden):
     long = analytics.melt(golden, ["athlete_id"], ["hrv", "nothing"])
     assert long.columns == ["athlete_id", "series", "value"] and long.count() == 15
+
+
+def test_history_page(golden):
+    page = dashboard.history_page(golden, limit=None, athletes=["athlete_001"])
+    assert page.figures.first()["records"] == 5
+    assert [r["value"] for r in page.series.collect()] == [82.0, 71.0, 88.0, 76.0, 65.0]
+    assert dashboard.history_page(golden, athletes=[]).figures.first()["records"] == 15
+    newest = dashboard.history_page(golden, limit=3, athletes=[]).figures.first()
+    assert newest["records"] == 3 and newest["first_date"] == newest["last_date"]
+
+
+def test_predictions_page(spark):
+    df = spark.sql("SELECT id, concat('a', id % 3) AS athlete_id, timestamp_seconds(id) AS created_at, "
+                   "CAST(id AS DOUBLE) AS performance_score FROM range(10)")
+    page = dashboard.predictions_page(df, limit=4)
+    figures = page.figures.first()
+    assert (figures["total_predictions"], figures["latest_score"], figures["unique_athletes"]) == (4, 9.0, 3)
+    assert [r["value"] for r in page.series.collect()] == [6.0, 7.0, 8.0, 9.0]
+    assert page.preview.first()["id"] == 9
