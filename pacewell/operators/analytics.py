@@ -80,9 +80,10 @@ def for_athletes(df: DataFrame, selected) -> DataFrame:
     strategy Spark picks from the measured size.
     """
     if isinstance(selected, DataFrame):
-        wanted = selected.select(F.col("athlete_id").cast("string").alias("athlete_id")).distinct()
-        if not wanted.take(1):
+        if selected.isEmpty():
             return df
+        # Repeats combine before the shuffle, however often one id is selected.
+        wanted = selected.select(F.col("athlete_id").cast("string").alias("athlete_id")).distinct()
         return df.join(wanted, "athlete_id", "left_semi")
     return df.filter(F.col("athlete_id").isin(list(selected))) if selected else df
 

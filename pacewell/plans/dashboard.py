@@ -1,7 +1,7 @@
 """The dashboard pages as frames.
 
 A page describes the newest ``limit`` rows, as the dashboard fetches no more;
-``limit=None`` describes the whole table instead. All frames are lazy.
+``limit=None`` describes the whole table instead. The frames are lazy.
 """
 
 from dataclasses import dataclass
@@ -49,10 +49,14 @@ def training_page(runs: DataFrame, limit: int | None = 100) -> Page:
 
 def history_page(records: DataFrame, limit: int | None = 5000, athletes=None,
                  ties=("athlete_id",)) -> Page:
-    """``athletes=None`` selects the first five ids, an empty list all rows."""
+    """``athletes=None`` selects the first five ids, an empty list all rows.
+
+    The five ids are fetched: as a list they become a filter of the scan.
+    """
     rows = _newest(records, limit, "record_date", *ties)
-    chosen = analytics.athlete_ids(rows, 5) if athletes is None else athletes
-    selected = analytics.for_athletes(rows, chosen)
+    if athletes is None:
+        athletes = [r["athlete_id"] for r in analytics.athlete_ids(rows, 5).collect()]
+    selected = analytics.for_athletes(rows, athletes)
     means = analytics.daily_means(selected).withColumnRenamed(f"mean_{LABEL}", LABEL)
     return Page(
         analytics.history_figures(selected),

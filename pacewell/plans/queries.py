@@ -351,9 +351,10 @@ def _model_path(spark, sf_dir):
 def m03_forest_fit(spark, sf_dir):
     rows = models.more_partitions(_split(spark, sf_dir).select("split", *FEATURES, LABEL))
     fitted = models.fit(rows.filter("split = 'train'"), SMALL_FOREST)
-    forest = fitted.stages[-1]
+    parts = models.forests(fitted)
     return metrics.evaluate(models.score(fitted, rows)).withColumns({
-        "n_trees": F.lit(forest.getNumTrees), "n_nodes": F.lit(forest.totalNumNodes)})
+        "n_trees": F.lit(sum(p.getNumTrees for p in parts)),
+        "n_nodes": F.lit(sum(p.totalNumNodes for p in parts))})
 
 
 @query

