@@ -22,6 +22,21 @@ def local_session(cores: int | str = "*", app: str = "pacewell") -> SparkSession
     )
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Sets shuffle partitions for jobs that shuffle about ``input_bytes``.
+
+    Adaptive execution merges partitions that turn out small but cannot make
+    more of them than were asked for, so the number must fit the largest
+    shuffle: the ordered work on raw samples moves every row once.
+    """
+    wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

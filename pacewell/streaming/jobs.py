@@ -109,7 +109,8 @@ def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str,
     """Rule states of closed windows, held across micro-batches.
 
     The state is one row per series. Each batch reads the state its
-    predecessor wrote and writes its own, so it can be repeated.
+    predecessor wrote and writes its own to another of three slots, so it can
+    be repeated and old states do not pile up.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -124,7 +125,8 @@ def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str,
                 seen = state.select("alert", *keys)
                 quiet = carried.join(seen, ["alert", *keys], "left_anti")
                 state = state.unionByName(quiet)
-            state.write.mode("overwrite").parquet(_batch_path(state_path, batch_id))
+            state = state.withColumn("batch", F.lit(batch_id))
+            state.write.mode("overwrite").parquet(_slot_path(state_path, batch_id))
         finally:
             held.unpersist()
 
@@ -132,9 +134,16 @@ def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str,
             .option("checkpointLocation", checkpoint).trigger(**(trigger or CAUGHT_UP)).start())
 
 
+def _slot_path(path: str, batch_id: int) -> str:
+    return f"{path}/slot={batch_id % 3}"
+
+
 def _state_before(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
     """State written by the batch before this one; the first has none.
 
-    Every batch writes its state, so a missing folder is an error, not a start.
+    Every batch writes its state, so a missing slot is an error, not a start.
     """
-    return spark.read.parquet(_batch_path(state_path, batch_id - 1)) if batch_id else None
+    if batch_id == 0:
+        return None
+    stored = spark.read.parquet(_slot_path(state_path, batch_id - 1))
+    return stored.filter(F.col("batch") == batch_id - 1).drop("batch")

@@ -5,8 +5,10 @@ from comparison import plan
 from pyspark.sql import functions as F
 
 from pacewell.operators import analytics, clean, dataset, features
+from pacewell.session import shared_root, size_shuffles
 from pacewell.sources import tables
 
+
 @pytest.fixture(scope="module")
 def stored(spark, golden, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("plans") / "performance")
@@ -39,3 +41,15 @@ def test_daily_means_combine_before_the_shuffle(stored):
 def test_exact_split_is_a_projection(spark):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
     assert "Exchange" not in plan(dataset.exact_split(df, ["id"]))
+
+
+def test_shuffles_grow_with_the_input(spark):
+    session = spark.newSession()
+    assert size_shuffles(session, 100 << 40) == 819200
+    assert session.conf.get("spark.sql.shuffle.partitions") == "819200"
+    assert size_shuffles(session, 1) == spark.sparkContext.defaultParallelism
+
+
+def test_scratch_is_below_the_named_folder(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or shared_root(spark) == named.rstrip("/")
