@@ -11,6 +11,8 @@ from pacewell.schemas import CRITICAL, OPTIONAL, REQUIRED
 from pacewell.settings import MAX_BATCH_RECORDS, PROFILES
 
 PARSE_FAILED = "parse_failed"
+# The raw line of a record that is not well-formed, as the CSV scan gives it.
+CORRUPT = "_corrupt"
 
 
 def missing_columns(df: DataFrame, required=REQUIRED) -> list[str]:
@@ -61,18 +63,25 @@ def coerce(df: DataFrame, strict: bool = True) -> DataFrame:
     return out.withColumns(nan_free).drop(*raw.values())
 
 
+def _damaged(df: DataFrame) -> Column:
+    return F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+
+
 def with_violations(df: DataFrame, profile: str = "ingest") -> DataFrame:
-    """Adds ``violations``: the names of the rules each row breaks."""
+    """Adds ``violations``: the names of the rules each row breaks, after
+    ``damaged_line`` and the columns that did not parse."""
     found = violations(PROFILES[profile])
     if PARSE_FAILED in df.columns:
         unparsed = F.transform(F.col(PARSE_FAILED), lambda c: F.concat(c, F.lit("_unparsed")))
         found = F.when(F.size(PARSE_FAILED) > 0, F.concat(unparsed, found)).otherwise(found)
+    if CORRUPT in df.columns:
+        found = F.concat(names_where({"damaged_line": _damaged(df)}), found)
     return df.withColumn("violations", found)
 
 
 def is_bad(df: DataFrame, profile: str = "ingest") -> Column:
-    """True for a row that breaks a rule or did not parse."""
-    bad = broken(PROFILES[profile])
+    """True for a row that is damaged, did not parse or breaks a rule."""
+    bad = broken(PROFILES[profile]) | _damaged(df)
     return bad | (F.size(PARSE_FAILED) > 0) if PARSE_FAILED in df.columns else bad
 
 
@@ -86,7 +95,7 @@ def violation_counts(df: DataFrame, profile: str = "ingest") -> DataFrame:
 def split_valid(df: DataFrame, profile: str = "ingest") -> tuple[DataFrame, DataFrame]:
     """Good and bad rows; only the bad ones get their ``violations``."""
     bad = is_bad(df, profile)
-    return df.filter(~bad).drop(PARSE_FAILED), with_violations(df.filter(bad), profile)
+    return df.filter(~bad).drop(PARSE_FAILED, CORRUPT), with_violations(df.filter(bad), profile)
 
 
 def require_valid(df: DataFrame, profile: str = "ingest") -> DataFrame:

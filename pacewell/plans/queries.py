@@ -92,7 +92,7 @@ def s02_csv_guards(spark, sf_dir):
     records.select(lines).write.text(f"{path}/other")
     read = files.read_csv(spark, path, strict=False, recursive=True)
     return read.groupBy("athlete_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count(files.CORRUPT).alias("n_damaged"))
+        F.count(F.lit(1)).alias("n_rows"), F.count(intake.CORRUPT).alias("n_damaged"))
 
 
 @query

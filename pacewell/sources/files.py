@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pacewell.errors import ValidationError
-from pacewell.operators.intake import coerce, require_batch_size, require_columns
+from pacewell.operators.intake import CORRUPT, coerce, require_batch_size, require_columns
 from pacewell.schemas import RECORD_BATCH, RECORD_COLUMNS
 from pacewell.settings import MAX_BATCH_RECORDS
 
-CORRUPT = "_corrupt"
 SOURCE_FILE = "_source_file"
 CSV_GLOB = "*.[cC][sS][vV]"
 
@@ -33,8 +32,18 @@ def csv_text(spark: SparkSession, path, recursive: bool = False) -> DataFrame:
     Only files named ``.csv`` are read, as UTF-8. Columns are found by header
     name, so any order will do; required ones must be there.
     """
-    df = csv_reader(spark.read, _header(spark, path, recursive), recursive).csv(path)
-    return require_columns(df.withColumn(SOURCE_FILE, F.input_file_name()))
+    names = _header(spark, path, recursive)
+    df = csv_reader(spark.read, names, recursive).csv(path)
+    return require_columns(flag_undecodable(df, names).withColumn(SOURCE_FILE, F.input_file_name()))
+
+
+def flag_undecodable(df: DataFrame, names=RECORD_COLUMNS) -> DataFrame:
+    """Marks lines that are not UTF-8 as damaged.
+
+    The scan replaces such bytes by U+FFFD, which no record has a use for.
+    """
+    line = F.concat_ws(",", *names)
+    return df.withColumn(CORRUPT, F.coalesce(CORRUPT, F.when(F.contains(line, F.lit("\ufffd")), line)))
 
 
 def csv_reader(reader, names=RECORD_COLUMNS, recursive: bool = False):

@@ -9,15 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from pacewell.functions.columns import names_where
 from pacewell.functions.histogram import cumulative_counts
 from pacewell.operators.alerts import evaluate
-from pacewell.operators.intake import coerce, is_bad, with_violations
+from pacewell.operators.intake import coerce, split_valid
 from pacewell.operators.timeline import closing_state
 from pacewell.plans import model as models
 from pacewell.plans.scoring import features_for
 from pacewell.settings import LATENCY_BOUNDS, MODEL_VERSION, AlertRule
-from pacewell.sources.files import CORRUPT, csv_reader
+from pacewell.sources.files import csv_reader, flag_undecodable
 from pacewell.sources.tables import log_rows, performance_rows, prediction_rows
 
 CAUGHT_UP = {"availableNow": True}
@@ -31,25 +30,20 @@ def csv_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     reader = csv_reader(spark.readStream)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    return flag_undecodable(reader.csv(path))
 
 
 def intake_stream(records: DataFrame, good_path: str, bad_path: str, checkpoint: str,
                   profile: str = "ingest", trigger=None):
     """Coerces and validates records; good and bad rows go to two tables."""
     typed = coerce(records, strict=False)
-    damaged = F.col(CORRUPT).isNotNull() if CORRUPT in records.columns else F.lit(False)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The two filters read the micro-batch twice; a cached copy of it
         # would cost more than the second, cheap pass.
-        bad = is_bad(batch, profile) | damaged
-        performance_rows(batch.filter(~bad)).write.mode("overwrite").parquet(
-            _batch_path(good_path, batch_id))
-        marks = names_where({"damaged_line": damaged})
-        rejected = with_violations(batch.filter(bad), profile)
-        rejected.withColumn("violations", F.concat(marks, "violations")).write.mode(
-            "overwrite").parquet(_batch_path(bad_path, batch_id))
+        good, bad = split_valid(batch, profile)
+        for rows, path in ((performance_rows(good), good_path), (bad, bad_path)):
+            rows.write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
     return (typed.writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or CAUGHT_UP)).start())

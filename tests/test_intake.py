@@ -78,13 +78,26 @@ def test_csv_bad_values(spark, tmp_path):
     assert found["athlete_002"] == ["record_date_unparsed", "record_date_missing"]
     assert found["athlete_003"] == ["training_load_unparsed", "training_load_missing"]
     assert found[None] == ["athlete_id_length"]
+    assert found["athlete_005"][0] == "damaged_line"
     assert found["athlete_006"] == ["sleep_hours_missing"]
-    damaged = text.filter(F.col(files.CORRUPT).isNotNull()).select("athlete_id", files.CORRUPT).collect()
+    damaged = text.filter(F.col(intake.CORRUPT).isNotNull()).select("athlete_id", intake.CORRUPT).collect()
     assert [r["athlete_id"] for r in damaged] == ["athlete_005"]
     with pytest.raises(Exception, match="(?i)damaged|cast|invalid"):
         files.read_csv(spark, path).collect()
 
 
+def test_csv_must_be_utf8(spark, tmp_path):
+    (tmp_path / "u").mkdir()
+    latin = GOOD.replace("athlete_001", "Zoé")
+    (tmp_path / "u" / "a.csv").write_bytes((HEADER + "\n" + latin + "\n").encode("latin-1"))
+    (tmp_path / "u" / "b.csv").write_text(HEADER + "\n" + latin + "\n", encoding="utf-8")
+    good, bad = intake.split_valid(files.read_csv(spark, str(tmp_path / "u"), strict=False))
+    assert [r["athlete_id"] for r in good.collect()] == ["Zoé"]
+    assert [r["violations"] for r in bad.collect()] == [["damaged_line"]]
+    with pytest.raises(Exception, match="damaged CSV line"):
+        files.read_csv(spark, str(tmp_path / "u")).collect()
+
+
 def test_file_size_limit(spark, tmp_path):
     path = lines(tmp_path / "l", "a.csv", GOOD, GOOD, GOOD)
     assert files.read_csv(spark, path, max_rows_per_file=3).count() == 3
