@@ -226,6 +226,18 @@ _ERROR_TEXTS = _texts("HighApiErrorRate", "critical", "'High API error rate'",
 _ERROR_ALERT = _held("measured", _RATIO5, [], "window_start", "value > 0.05", 300, 300,
                      select=_ERROR_TEXTS)
 
+_DOWN_ALERT = _held(
+    "up_samples", "SELECT * FROM up_samples", ["job"], "ts", "up = 0", 120,
+    select=_texts("ServiceDown", "critical", "concat(job, ' is down')",
+                  "concat('Service ', job, ' has been unreachable for 2 minutes.')",
+                  "job", "ts", "up AS value"))
+
+_LATENCY_ALERT = _held(
+    "measured", "SELECT * FROM quantiles", [], "window_start", "value > 1", 300, 300,
+    extra=(("quantiles", _quantiles([], {"value": 0.95}, "job = 'api'")),),
+    select=_texts("HighApiLatencyP95", "warning", "'High API latency p95'",
+                  "'API p95 latency is above 1 second for 5 minutes.'", "window_start", "value"))
+
 _SERIES = "job, method, endpoint, status"
 
 _RUN_METRICS = ("test_mae", "test_rmse", "test_r2")
@@ -277,6 +289,12 @@ _TITLED_RATES = _with(
                 "FROM measured WHERE job = 'api' GROUP BY ALL")
 
 
+def _closed(sql):
+    """Windows still open at the end of the stream are not written."""
+    end = _with("measured", "SELECT max(ts) - INTERVAL 10 MINUTE FROM measured WHERE job = 'api'")
+    return f"SELECT * FROM ({sql}) WHERE window_start + INTERVAL 5 MINUTE <= ({end})"
+
+
 ORACLES = {
     "s01_csv_scan": _with("perf_raw", f"SELECT {RECORD} FROM perf_raw"),
     "s02_csv_guards": _with("perf_raw", "SELECT athlete_id, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_damaged "
@@ -491,33 +509,22 @@ ORACLES = {
         f"SELECT 'success_ratio' AS panel, ts, value, {_RATIO_BAND} AS colour FROM "
         f"(SELECT {_bucket(60)} AS ts, 1 - count(*) FILTER (WHERE status LIKE '5__') / count(*) AS value "
         "FROM measured GROUP BY 1)"),
-    "o15_service_down": _held(
-        "up_samples", "SELECT * FROM up_samples", ["job"], "ts", "up = 0", 120,
-        select=_texts("ServiceDown", "critical", "concat(job, ' is down')",
-                      "concat('Service ', job, ' has been unreachable for 2 minutes.')",
-                      "job", "ts", "up AS value")),
+    "o15_service_down": _DOWN_ALERT,
     "o16_hold_state": _held(
         "request_log", f"SELECT {_bucket(60)} AS window_start, count(*) FILTER (WHERE status LIKE '5__') / count(*) "
                        "AS value FROM request_log WHERE job = 'api' GROUP BY 1",
         [], "window_start", "value > 0.05", 7200, select="window_start, value, since, state"),
-    "o17_high_latency": _held(
-        "measured", "SELECT * FROM quantiles", [], "window_start", "value > 1", 300, 300,
-        extra=(("quantiles", _quantiles([], {"value": 0.95}, "job = 'api'")),),
-        select=_texts("HighApiLatencyP95", "warning", "'High API latency p95'",
-                      "'API p95 latency is above 1 second for 5 minutes.'", "window_start", "value")),
+    "o17_high_latency": _LATENCY_ALERT,
     "o18_high_error_rate": _ERROR_ALERT,
     "o20_last_known": _with(
         "run_metrics", "SELECT model_version, max_by(test_mae, ROW(run_date, id)) AS test_mae FROM run_metrics "
                        "WHERE test_mae IS NOT NULL GROUP BY 1"),
     "t01_intake_stream": VERDICT,
-    # Windows still open at the end of the stream are not written.
-    "t02_rate_stream": f"SELECT * FROM ({_TITLED_RATES}) WHERE window_start + INTERVAL 5 MINUTE <= "
-                       f"({_with('measured', 'SELECT max(ts) - INTERVAL 10 MINUTE FROM measured')} "
-                       "WHERE job = 'api')",
+    "t02_rate_stream": _closed(_TITLED_RATES),
     "t03_scoring_stream": _with(
         "perf_raw", "SELECT athlete_id, record_date AS prediction_date, '1.0' AS model_version, count(*) AS n_rows, "
                     f"count(*) AS n_possible FROM perf_raw WHERE {CRITICAL_PRESENT} GROUP BY ALL"),
-    "t04_alert_stream": f"SELECT * FROM ({_ERROR_ALERT}) WHERE window_start + INTERVAL 5 MINUTE <= "
-                        f"({_with('measured', 'SELECT max(ts) - INTERVAL 10 MINUTE FROM measured')} "
-                        "WHERE job = 'api')",
+    "t04_alert_stream": _closed(_ERROR_ALERT),
+    "t04_latency_alert_stream": _closed(_LATENCY_ALERT),
+    "t04_service_down_stream": _DOWN_ALERT,
 }

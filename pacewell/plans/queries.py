@@ -750,6 +750,26 @@ def t04_alert_stream(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").drop("batch_id")
 
 
+@query
+def t04_latency_alert_stream(spark, sf_dir):
+    path = scratch_path(spark, "t04-latency")
+    api = obs.matching(_log_stream(spark, sf_dir), {"job": "api"})
+    _finish(streams.alert_stream(streams.latency_stream(api), alerts.HIGH_LATENCY, f"{path}/out",
+                                 f"{path}/state", f"{path}/checkpoint", max_gap=300))
+    return spark.read.parquet(f"{path}/out").drop("batch_id")
+
+
+@query
+def t04_service_down_stream(spark, sf_dir):
+    path = scratch_path(spark, "t04-up")
+    samples = views.up_samples(spark, sf_dir)
+    samples.write.parquet(f"{path}/in")
+    arriving = spark.readStream.schema(samples.schema).parquet(f"{path}/in")
+    _finish(streams.alert_stream(arriving, alerts.SERVICE_DOWN, f"{path}/out", f"{path}/state",
+                                 f"{path}/checkpoint", keys=["job"], ts="ts", value="up"))
+    return spark.read.parquet(f"{path}/out").drop("batch_id")
+
+
 def daily_performance(spark, sf_dir):
     """Flagship: clean, features, daily means of label and ratios."""
     means = analytics.daily_means(_engineered(spark, sf_dir), "sleep_recovery_ratio", "load_stress_ratio")

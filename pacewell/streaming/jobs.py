@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from pacewell.functions.histogram import cumulative_counts
+from pacewell.functions.histogram import bucket_columns, cumulative_counts, quantile
 from pacewell.operators.alerts import evaluate
 from pacewell.operators.intake import coerce, split_valid
 from pacewell.operators.timeline import closing_state
@@ -83,6 +83,14 @@ def histogram_stream(log: DataFrame, keys=(), width: int = 300, late: str = "10
     return counted.withColumn("window_start", F.col("w.start")).drop("w")
 
 
+def latency_stream(log: DataFrame, keys=(), width: int = 300, late: str = "10 minutes",
+                   phi: float = 0.95, bounds=LATENCY_BOUNDS) -> DataFrame:
+    """One interpolated quantile per closed window, as ``value``."""
+    counts = [F.col(c) for c in bucket_columns(bounds)]
+    return histogram_stream(log, keys, width, late, bounds).select(
+        *keys, "window_start", quantile(phi, bounds, counts).alias("value"))
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str, trigger=None):
     """Closed windows or plain rows into a Parquet table, exactly once."""
     return (df.writeStream.outputMode("append").format("parquet").option("path", path)
@@ -99,8 +107,11 @@ def scoring_stream(requests: DataFrame, model_path: str, log_path: str, checkpoi
 
 
 def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str, checkpoint: str,
-                 keys=(), max_gap: int | None = None, trigger=None):
-    """Rule states of closed windows, held across micro-batches.
+                 keys=(), ts: str = "window_start", value: str = "value",
+                 max_gap: int | None = None, trigger=None):
+    """Rule states of closed windows or raw samples, held across micro-batches.
+
+    Values of a series must arrive in time order, as closed windows do.
 
     The state is one row per series. Each batch reads the state its
     predecessor wrote and writes its own to another of three slots, so it can
@@ -110,11 +121,11 @@ def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         carried = _state_before(spark, state_path, batch_id)
-        held = evaluate(batch, rule, keys, ts="window_start", max_gap=max_gap, carried=carried)
+        held = evaluate(batch, rule, keys, ts, value, max_gap, carried=carried)
         held = held.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             held.write.mode("overwrite").parquet(_batch_path(path, batch_id))
-            state = closing_state(held, ["alert", *keys], "window_start")
+            state = closing_state(held, ["alert", *keys], ts)
             if carried is not None:
                 seen = state.select("alert", *keys)
                 quiet = carried.join(seen, ["alert", *keys], "left_anti")

@@ -38,3 +38,19 @@ def test_model_query_invariants(spark):
 
 def test_entry_has_rows(spark):
     assert contract.entry(spark).take(1)
+
+
+def counted(df, *keys):
+    return {tuple(r)[:-1] if len(keys) > 1 else r[0]: r["count"] for r in df.groupBy(*keys).count().collect()}
+
+
+def test_known_counts_of_the_tables(spark):
+    """Counts found independently when the mapping of the tables was made."""
+    sf_dir = "/root/testdata/sf0.01"
+    assert counted(QUERIES["o16_hold_state"](spark, sf_dir), "state") == {
+        "firing": 33, "pending": 227, "inactive": 460}
+    sizes = {r["split"]: r["n_rows"] for r in QUERIES["d05_sample_counts"](spark, sf_dir).collect()}
+    assert sizes == {"train": 23698, "test": 5947}
+    up = QUERIES["o15_service_down"](spark, sf_dir).groupBy("job").sum("value").collect()
+    assert {r[0]: r[1] for r in up} == {"api": 720, "data-ingestion": 686, "ml-trainer": 545}
+    assert counted(QUERIES["d04_exact_split"](spark, sf_dir), "split") == {"test": 12000, "train": 48000}
