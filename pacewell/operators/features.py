@@ -19,7 +19,6 @@ def fit_fill_values(cleaned: DataFrame) -> dict[str, float]:
     """Fill value per sensor: the median of what was measured.
 
     A sensor the frame lacks, or that has no reading at all, gets its constant.
-    The frame must be clipped, as the search relies on the clip bounds.
     """
     present = {c: CLIP_BOUNDS[c] for c in SENSORS if c in cleaned.columns}
     medians = exact_medians(cleaned, present) if present else {}

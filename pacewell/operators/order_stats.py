@@ -37,12 +37,25 @@ class _Search:
     rank: int | None = None
     below: int = 0
     total: int = 0
+    first: bool = True
 
 
 def _bucket(search: _Search, value: Column) -> Column:
     width = F.lit(float(search.high - search.low))
     part = (value - F.lit(search.low).cast(search.kind)).cast("double") / width
-    return F.least(F.floor(part * BUCKETS).cast("int"), F.lit(BUCKETS - 1))
+    inside = F.least(F.greatest(part * BUCKETS, F.lit(0.0)), F.lit(BUCKETS - 1.0))
+    return F.floor(inside).cast("int")
+
+
+def _value(search: _Search) -> Column:
+    """The values a pass looks at. The first takes all: bounds only guide it,
+    and what lies outside is counted in the outermost buckets."""
+    if search.first:
+        wanted = ~F.isnan(search.column) if search.kind == "double" else F.lit(True)
+    else:
+        wanted = search.column.between(F.lit(search.low).cast(search.kind),
+                                       F.lit(search.high).cast(search.kind))
+    return F.when(wanted, search.column)
 
 
 def _count_pass(df: DataFrame, searches: list[_Search]) -> dict[int, list]:
@@ -52,9 +65,7 @@ def _count_pass(df: DataFrame, searches: list[_Search]) -> dict[int, list]:
         mine = [(i, s) for i, s in enumerate(searches) if s.kind == kind]
         # The searched columns are projected first: an expensive one, such as
         # a digest, is then computed once per row and not once per mention.
-        values = df.select(*[
-            F.when(s.column.between(F.lit(s.low).cast(kind), F.lit(s.high).cast(kind)),
-                   s.column).alias(f"v{i}") for i, s in mine])
+        values = df.select(*[_value(s).alias(f"v{i}") for i, s in mine])
         entries = [F.struct(F.lit(i).alias("search"), _bucket(s, F.col(f"v{i}")).alias("bucket"),
                             F.col(f"v{i}").alias("value")) for i, s in mine]
         counted = (
@@ -75,7 +86,7 @@ def _narrow(search: _Search, rows) -> Selected | _Search:
         if search.rank < seen + row["n"]:
             if row["low"] == row["high"]:
                 return Selected(row["low"], seen, row["n"], search.total)
-            return replace(search, low=row["low"], high=row["high"], below=seen)
+            return replace(search, low=row["low"], high=row["high"], below=seen, first=False)
         seen += row["n"]
     raise ValueError(f"rank {search.rank} is outside the {seen} values of {search.name}")
 
@@ -83,9 +94,10 @@ def _narrow(search: _Search, rows) -> Selected | _Search:
 def select_ranks(df: DataFrame, columns: dict[str, tuple], ranks_of) -> dict[str, list[Selected]]:
     """Values at given ranks of several columns.
 
-    ``columns`` maps a name to ``(column, type, low, high)``, where the bounds
-    enclose all values; ``ranks_of(n)`` gives the wanted zero-based ranks among
-    ``n`` values. NULL is left out. A column without values maps to ``[]``.
+    ``columns`` maps a name to ``(column, type, low, high)``; bounds that
+    enclose most values save passes. ``ranks_of(n)`` gives the wanted zero-based
+    ranks among ``n`` values. NULL and NaN are left out. A column without values
+    maps to ``[]``.
     """
     start = [_Search(n, c, kind, low, high) for n, (c, kind, low, high) in columns.items()]
     first = _count_pass(df, start)
@@ -120,7 +132,7 @@ def select_ranks(df: DataFrame, columns: dict[str, tuple], ranks_of) -> dict[str
 
 
 def exact_medians(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> dict[str, float | None]:
-    """Median of each bounded column; the middle pair is averaged."""
+    """Median of each column with usual bounds; the middle pair is averaged."""
     picked = select_ranks(
         df,
         {c: (F.col(c), "double", low, high) for c, (low, high) in bounds.items()},

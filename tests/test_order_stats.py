@@ -30,6 +30,14 @@ def test_many_passes(spark, monkeypatch):
     assert order_stats.exact_medians(frame(spark, values), {"x": (0.0, 200.0)})["x"] == statistics.median(values)
 
 
+def test_values_outside_the_bounds_count(spark):
+    values = [-50.0, -3.0, -2.0, 5.0, 300.0, 1e6, 1e7, float("nan"), None]
+    got = order_stats.exact_medians(frame(spark, values), {"x": (0.0, 200.0)})["x"]
+    assert got == 5.0
+    low = order_stats.exact_medians(frame(spark, [-9.0, -8.0, -7.0, 1.0]), {"x": (0.0, 200.0)})["x"]
+    assert low == -7.5
+
+
 def test_ranks_with_one_hot_value(spark):
     values = [7] * 500 + list(range(1000, 2000))
     random.Random(2).shuffle(values)
