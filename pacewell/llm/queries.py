@@ -1,10 +1,15 @@
 """The queries of this subpackage and their SQL."""
 
-from pacewell.llm import packing, tokenfiles
+from pacewell.llm import language, mixing, packing, tokenfiles, topk
 
 QUERIES = {
     "op3_token_files": tokenfiles.op3_token_files,
     "op4_packing": packing.op4_packing,
+    "op6_top_k": topk.op6_top_k,
+    "op8_language": language.op8_language,
+    "op10_mixing": mixing.op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_top_k": topk.OP6_SQL,
+}
