@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from pacewell.llm import language, mixing, neardup, packing, quality, tokenfiles, topk
+from pacewell.llm import language, merkle, mixing, neardup, packing, quality, tokenfiles, topk
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
@@ -9,9 +9,11 @@ QUERIES = {
     "op6_top_k": topk.op6_top_k,
     "op7_near_duplicates": neardup.op7_near_duplicates,
     "op8_language": language.op8_language,
+    "op9_fingerprints": merkle.op9_fingerprints,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
     "op6_top_k": topk.OP6_SQL,
+    "op9_fingerprints": merkle.OP9_SQL,
 }
