@@ -117,7 +117,7 @@ def _plan(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def mix(docs: DataFrame, weights=cyclic_weights, most_repeats: int = MOST_REPEATS, seed: int = SEED) -> DataFrame:
-    """(doc_id, size, source, source_size, target, taken) of every row.
+    """(doc_id, text_key, size, source, source_size, target, taken) of every row; text_key is a hash of the text.
 
     ``weights`` maps the number of sources to their weights in the order of
     code points, null last. A null source is a source of its own; null and
@@ -127,7 +127,8 @@ def mix(docs: DataFrame, weights=cyclic_weights, most_repeats: int = MOST_REPEAT
     """
     spark = docs.sparkSession
     sized = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text").cast("string")).alias("size")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text").cast("string")).alias("size"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
     )
     sized = sized.withColumn("place", F.xxhash64("doc_id", F.lit(seed)))
     sized = common.stored(sized.withColumn("salt", F.pmod("place", F.lit(SALTS)).cast("int")), "sizes")
@@ -150,12 +151,23 @@ def mix(docs: DataFrame, weights=cyclic_weights, most_repeats: int = MOST_REPEAT
     names = {c: c + "_" for c in ("source", "size", "salt")}
     plan = plan.withColumnsRenamed({"source": "source_p", "size": "size_p"})
     salted = salted.join(plan, F.col("source").eqNullSafe(F.col("source_p")) & (F.col("size") == F.col("size_p"))).drop("source_p", "size_p")
-    own = F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy("place", "doc_id"))
+    own = F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy("place", "doc_id", "text_key"))
     ranked = sized.withColumn("own", own)
     same = F.col("source").eqNullSafe(F.col("source_")) & (F.col("size") == F.col("size_")) & (F.col("salt") == F.col("salt_"))
     joined = ranked.join(salted.withColumnsRenamed(names), same)
     taken = F.col("passes") + F.when(F.col("earlier") + F.col("own") <= F.col("extra"), 1).otherwise(0)
-    return joined.select("doc_id", "size", "source", "source_size", "target", (F.col("size") * taken).alias("taken"))
+    return joined.select("doc_id", "text_key", "size", "source", "source_size", "target", (F.col("size") * taken).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights=cyclic_weights, most_repeats: int = MOST_REPEATS, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; all columns stay. Rows without words are not taken."""
+    plan = mix(docs, weights, most_repeats, seed).where("taken > 0")
+    times = F.sum(F.col("taken") / F.col("size")).cast("int").alias("__times")
+    plan = plan.groupBy("doc_id", "text_key", "source").agg(times)
+    plan = plan.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("source").alias("__source"), "__times")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("__key"))
+    joined = docs.join(plan, same & F.col("source").cast("string").eqNullSafe(F.col("__source"))).dropDuplicates(["__id", "__key", "__source"])
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

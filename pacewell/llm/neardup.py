@@ -142,10 +142,11 @@ def _signatures(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
 def _placed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and a key by which a text is found again: the doc_id, or the text's hash where that is null."""
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.xxhash64(text)).alias("place"), text.alias("text"))
+    key = F.xxhash64(text)
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, key).alias("place"), key.alias("text_key"), text.alias("text"))
 
 
-_SKETCH = "rid long, doc_id long, place long, n_shingles long, sign_a long, sign_b long, registers binary"
+_SKETCH = "rid long, doc_id long, place long, text_key long, n_shingles long, sign_a long, sign_b long, registers binary"
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
@@ -153,12 +154,12 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = {"registers": pa.binary()}
-        schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in ("rid", "doc_id", "place", "n_shingles", "sign_a", "sign_b", "registers")])
+        schema = pa.schema([(c, kinds.get(c, pa.int64())) for c in ("rid", "doc_id", "place", "text_key", "n_shingles", "sign_a", "sign_b", "registers")])
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, hashes, bounds in shingle_sets(batch.column("text"), words):
                 n = len(bounds) - 1
-                own, rows = (batch.column(c).slice(first, n) for c in ("doc_id", "place")), registers(hashes, bounds)
+                own, rows = (batch.column(c).slice(first, n) for c in ("doc_id", "place", "text_key")), registers(hashes, bounds)
                 yield common.record_batch(schema, np.arange(rid, rid + n), *own, np.diff(bounds), *_signatures(hashes, bounds), [r.tobytes() for r in rows])
                 rid += n
 
@@ -301,31 +302,44 @@ def verified_edges(docs: DataFrame, sketched: DataFrame, clusters: DataFrame, li
     return placed.mapInArrow(_verify(like), "a long, b long")
 
 
+def _resolved(docs: DataFrame, like: Likeness) -> DataFrame:
+    """(doc_id, text_key, n_shingles, first_id, first_key) of every row: the first document of its component by doc_id, nulls last."""
+    sketched = common.stored(sketches(docs, like.words), "sketches")
+    full = sketched.where("n_shingles > 0")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "rid")).alias("least")
+    classes = common.stored(full.groupBy("sign_a", "sign_b").agg(least).select("sign_a", "sign_b", "least", F.col("least.rid").alias("rid")), "classes")
+    shown = classes.select("rid").join(full.select("rid", "n_shingles", "registers"), "rid")
+    near = components(candidate_edges(common.stored(shown, "class-sketches"), like))
+    joined = components(common.stored(verified_edges(docs, full, near, like), "links"))
+    # From here on rows are small: a class each, then a document each.
+    member = classes.join(joined, F.col("rid") == F.col("node"), "left").select("sign_a", "sign_b", "least", F.coalesce("root", "rid").alias("root"))
+    first = member.groupBy("root").agg(F.min("least").alias("first"))
+    of_class = member.join(first, "root").select("sign_a", "sign_b", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"))
+    rows = ["doc_id", "text_key", "n_shingles", "first_id", "first_key"]
+    linked = full.join(of_class, ["sign_a", "sign_b"]).select(*rows)
+    alone = sketched.where("n_shingles = 0").withColumns({"first_id": F.col("doc_id"), "first_key": F.col("text_key")})
+    return linked.unionByName(alone.select(*rows))
+
+
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
     Documents whose sets have a Jaccard similarity of at least part / whole are
     linked; component_id is the smallest doc_id that links reach, the document
     itself included. A document without words is alone. Repeated rows share a
-    component and are all kept or all dropped; a null doc_id is the largest of
-    its component and kept only if it is null too. An empty table gives no rows.
+    component, and the first is kept as often as it stands there; a null doc_id
+    comes after all others. An empty table gives no rows.
     """
-    sketched = common.stored(sketches(docs, like.words), "sketches")
-    full = sketched.where("n_shingles > 0")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")
-    classes = full.groupBy("sign_a", "sign_b").agg(least).select("sign_a", "sign_b", F.col("least.doc_id").alias("doc_id"), F.col("least.rid").alias("rid"))
-    classes = common.stored(classes, "classes")
-    shown = common.stored(classes.select("rid").join(full.drop("doc_id", "sign_a", "sign_b"), "rid"), "class-sketches")
-    near = components(candidate_edges(shown, like))
-    edges = common.stored(verified_edges(docs, full, near, like), "links")
-    joined = components(edges)
-    # The smallest doc_id of each component; classes are few per document, so this joins small rows.
-    member = classes.join(joined, F.col("rid") == F.col("node"), "left").select("sign_a", "sign_b", "doc_id", F.coalesce("root", "rid").alias("root"))
-    smallest = member.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_class = member.join(smallest, "root").select("sign_a", "sign_b", "component_id")
-    linked = full.select("doc_id", "n_shingles", "sign_a", "sign_b").join(of_class, ["sign_a", "sign_b"]).select("doc_id", "n_shingles", "component_id")
-    alone = sketched.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = F.col("doc_id").eqNullSafe(F.col("first_id")).alias("kept")
+    return _resolved(docs, like).select("doc_id", "n_shingles", F.col("first_id").alias("component_id"), kept)
+
+
+def kept_documents(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: the first document of each component, once; all columns stay."""
+    own = _resolved(docs, like).where(F.col("doc_id").eqNullSafe(F.col("first_id")) & F.col("text_key").eqNullSafe(F.col("first_key")))
+    own = own.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("__key"))
+    return docs.join(own, same).dropDuplicates(["__id", "__key"]).select(*docs.columns)
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

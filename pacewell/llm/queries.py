@@ -1,12 +1,13 @@
 """The queries of this subpackage and their SQL."""
 
-from pacewell.llm import language, lines, merkle, mixing, neardup, packing, quality, tokenfiles, topk
+from pacewell.llm import language, lines, merkle, mixing, neardup, packing, quality, recount, tokenfiles, topk
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
     "op2_quality": quality.op2_quality,
     "op3_token_files": tokenfiles.op3_token_files,
     "op4_packing": packing.op4_packing,
+    "op5_token_counts": recount.op5_token_counts,
     "op6_top_k": topk.op6_top_k,
     "op7_near_duplicates": neardup.op7_near_duplicates,
     "op8_language": language.op8_language,
