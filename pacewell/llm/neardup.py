@@ -35,7 +35,7 @@ BASE = 1.001
 RATE = 20.0
 TOP = 65534
 BANDS, BAND_WIDTH = 48, 6
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK_DOCS, BLOCK_SHINGLES, BLOCK_MEMBERS = 1024, 1 << 20, 2048
 COLUMNS = 4096
 
 _rng = np.random.default_rng(7)
@@ -195,26 +195,78 @@ def _levels(low: float, high: float):
     return levels
 
 
+def _leaders(low: float, high: float):
+    def join(rids: list[int], sizes: np.ndarray, rows: np.ndarray) -> list[tuple[int, int]]:
+        """Hubs of one bucket in turn; the first member is one that no hub has been near to yet."""
+        edges, left = [], np.arange(len(rids))
+        hub = 0
+        while len(left) > 1:
+            others = left[left != hub]
+            pair = rows[others], rows[hub][None, :]
+            near = at_least(low, *pair, sizes[others], sizes[hub])
+            close = near & at_least(high, *pair, sizes[others], sizes[hub])
+            edges += [(rids[i], rids[hub]) for i in others[near].tolist()]
+            if near.all():
+                break
+            hub = int(others[~near][0])
+            left = others[~close]
+        return edges
+
+    def leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        key, rids, sizes, rows = None, [], [], []
+
+        def solved():
+            edges = join(rids, np.array(sizes, float), np.frombuffer(b"".join(rows), np.uint16).reshape(len(rows), REGISTERS))
+            return common.record_batch(schema, [i for i, _ in edges], [j for _, j in edges])
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("key", "block_a", "block_b", "rid", "n_shingles", "registers"))
+            for k, i, j, rid, n, row in zip(*columns):
+                if (k, i, j) != key:
+                    if len(rids) > 1:
+                        yield solved()
+                    key, rids, sizes, rows = (k, i, j), [], [], []
+                rids.append(rid)
+                sizes.append(n)
+                rows.append(row)
+        if len(rids) > 1:
+            yield solved()
+
+    return leaders
+
+
+def _in_blocks(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
+    """Rows with (block_a, block_b): a key's rows are dealt into its number of blocks, and every two blocks meet."""
+    rows = rows.join(blocks.select(key, "blocks"), key).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.where((F.col("blocks") == 1) | (F.col("other") != F.col("block")))
+    return rows.withColumns({"block_a": F.least("block", "other"), "block_b": F.greatest("block", "other")}).drop("block", "other", "blocks")
+
+
 def candidate_edges(classes: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs (a, b) of classes that the likelihood puts near each other, enough to join all linked ones."""
+    """Pairs (a, b) of classes that the likelihood puts near each other, enough to join all linked ones.
+
+    Every member of a bucket meets the bucket's first hub in a join. Only
+    buckets with members far from it go on, with further hubs, in one task a
+    bucket; those of more than BLOCK_MEMBERS rows are dealt into blocks that meet pairwise.
+    """
     low, high = max(like.share - 0.30, 0.05), min(like.share + 0.05, 1.0)
     bands = common.stored(classes.select("rid", "registers").mapInArrow(_band_rows, "key long, rid long"), "bands")
     hubs = bands.groupBy("key").agg(F.min("rid").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub")
     active = common.stored(bands.join(hubs, "key").where("rid <> hub"), "buckets")
     own = classes.select("rid", "n_shingles", "registers")
     theirs = own.select(F.col("rid").alias("hub"), F.col("n_shingles").alias("hub_n"), F.col("registers").alias("hub_registers"))
-    found = None
-    while True:
-        pairs = active.select("rid", "hub").distinct().join(own, "rid").join(theirs, "hub")
-        levels = common.stored(pairs.mapInArrow(_levels(low, high), "rid long, hub long, level int"), "levels")
-        edges = levels.where("level > 0").select(F.col("rid").alias("a"), F.col("hub").alias("b"))
-        found = edges if found is None else found.unionByName(edges)
-        rest = active.join(levels, ["rid", "hub"]).where("level < 2").select("key", "rid", "level")
-        rest = common.stored(rest, "buckets")
-        hubs = rest.where("level = 0").groupBy("key").agg(F.min("rid").alias("hub"))
-        active = common.stored(rest.join(hubs, "key").where("rid <> hub").select("key", "rid", "hub"), "buckets")
-        if active.isEmpty():
-            return found
+    pairs = active.select("rid", "hub").distinct().join(own, "rid").join(theirs, "hub")
+    levels = common.stored(pairs.mapInArrow(_levels(low, high), "rid long, hub long, level int"), "levels")
+    rest = common.stored(active.join(levels, ["rid", "hub"]).where("level < 2").select("key", "rid", "level"), "buckets")
+    sizes = rest.groupBy("key").agg(F.min("level").alias("least"), F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("blocks"))
+    # A bucket that is small here is one key of many; its rows carry their registers once each.
+    placed = _in_blocks(rest, "key", sizes.where("least = 0")).join(own, "rid")
+    group = "key", "block_a", "block_b"
+    placed = placed.repartition(*group).sortWithinPartitions(*group, "level", "rid").select(*group, "rid", "n_shingles", "registers")
+    more = placed.mapInArrow(_leaders(low, high), "a long, b long").distinct()
+    return levels.where("level > 0").select(F.col("rid").alias("a"), F.col("hub").alias("b")).unionByName(more)
 
 
 def _linked(hashes: np.ndarray, bounds: np.ndarray, like: Likeness) -> list[tuple[int, int]]:
@@ -290,13 +342,7 @@ def verified_edges(docs: DataFrame, sketched: DataFrame, clusters: DataFrame, li
     nodes = nodes.join(sketched.select("rid", "place", "n_shingles", "sign_a", "sign_b"), "rid")
     sizes = nodes.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_shingles").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    nodes = nodes.join(sizes.select("cluster", blocks.alias("blocks")), "cluster")
-    nodes = nodes.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    nodes = nodes.withColumn("other", other)
-    alone = (F.col("blocks") == 1) | (F.col("other") != F.col("block"))
-    pair = F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b")
-    nodes = nodes.where(alone).select("place", "rid", "cluster", *pair, "sign_a", "sign_b")
+    nodes = _in_blocks(nodes, "cluster", sizes.select("cluster", blocks.alias("blocks"))).drop("n_shingles")
     placed = _placed(docs).select("place", "text").join(nodes, "place").drop("place")
     placed = placed.repartition("cluster", "block_a", "block_b").sortWithinPartitions("cluster", "block_a", "block_b")
     return placed.mapInArrow(_verify(like), "a long, b long")
