@@ -116,7 +116,7 @@ def test_page_limits(spark):
 
 def test_athlete_filter(golden):
     assert analytics.for_athletes(golden, []).count() == 15
-    assert analytics.for_athletes(golden, ["athlete_002"]).count() == 5
+    assert analytics.for_athletes(golden, ["runner_b"]).count() == 5
     ids = analytics.athlete_ids(golden, 2)
     assert analytics.for_athletes(golden, ids).count() == 10
     assert analytics.for_athletes(golden, ids.limit(0)).count() == 15
@@ -128,7 +128,7 @@ def test_melt_ignores_absent_columns(golden):
 
 
 def test_history_page(golden):
-    page = dashboard.history_page(golden, limit=None, athletes=["athlete_001"])
+    page = dashboard.history_page(golden, limit=None, athletes=["runner_a"])
     assert page.figures.first()["records"] == 5
     assert [r["value"] for r in page.series.collect()] == [82.0, 71.0, 88.0, 76.0, 65.0]
     assert dashboard.history_page(golden, athletes=[]).figures.first()["records"] == 15

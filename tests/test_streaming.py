@@ -12,7 +12,7 @@ from pacewell.settings import HIGH_ERROR_RATE
 from pacewell.sources import files
 from pacewell.streaming import jobs
 
-START = datetime(2024, 1, 1)
+START = datetime(2031, 5, 4)
 
 
 def write_lines(path, name, rows):
@@ -26,8 +26,8 @@ def run(query):
 
 def test_intake_splits_files_as_the_batch_does(spark, tmp_path):
     source = tmp_path / "in"
-    write_lines(source, "a.csv", ["a1,2024-01-01,7.5,8,250,4,8,55,65,82", "a2,never,7,8,250,4,8,,,"])
-    write_lines(source, "b.csv", ["a3,2024-01-02,7.5,80,250,4,8,55,65,82", "a4,2024-01-02,7,8,1,4,8,,,"])
+    write_lines(source, "a.csv", ["a1,2031-05-04,6.25,3,512.5,2,7,71,38.5,47", "a2,never,6,3,512,2,7,,,"])
+    write_lines(source, "b.csv", ["a3,2031-05-05,6.25,30,512.5,2,7,71,38.5,47", "a4,2031-05-05,6,3,1,2,7,,,"])
     paths = [str(tmp_path / p) for p in ("good", "bad", "checkpoint")]
 
     def catch_up():
@@ -42,7 +42,7 @@ def test_intake_splits_files_as_the_batch_does(spark, tmp_path):
     batch_good, _ = intake.split_valid(files.read_csv(spark, str(source), strict=False))
     assert sorted(r["athlete_id"] for r in batch_good.collect()) == good
     # A later file is picked up by the next run, the earlier ones are not read again.
-    write_lines(source, "c.csv", ["a5,2024-01-03,7.5,8,250,4,8,55,65,82", "a6,2024"])
+    write_lines(source, "c.csv", ["a5,2031-05-06,6.25,3,512.5,2,7,71,38.5,47", "a6,2031"])
     good, bad = catch_up()
     assert good == ["a1", "a4", "a5"] and "damaged_line" in bad["a6"]
 

@@ -24,12 +24,12 @@ def test_month_layout_prunes(spark, golden, tmp_path):
     path = str(tmp_path / "t")
     moved = golden.withColumn("record_date", F.add_months("record_date", 2))
     tables.append_performance(golden.unionByName(moved), path, by_month=True)
-    march = tables.load_performance(spark, path, since=date(2024, 3, 1))
+    march = tables.load_performance(spark, path, since=date(2031, 5, 1))
     assert march.columns == RECORD_COLUMNS and march.count() == 15
     assert len(march.inputFiles()) >= 1
     plan = march._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(record_month" in plan
-    assert tables.load_performance(spark, path, until=date(2024, 1, 2)).count() == 6
+    assert tables.load_performance(spark, path, until=date(2031, 3, 13)).count() == 6
 
 
 def test_logs_feed_the_listings(spark, golden, tmp_path):
@@ -50,7 +50,7 @@ def test_ingest_jobs(spark, golden, golden_rows, tmp_path):
     assert ingest.ingest_json(spark, str(tmp_path / "json"), table) == 15
     assert ingest.ingest_frame(spark.createDataFrame(golden_rows, RECORD_COLUMNS), table) == 15
     assert tables.load_performance(spark, table).count() == 45
-    odd = golden.withColumn("stress_level", F.when(F.col("hrv") > 66, 99.0).otherwise(F.col("stress_level")))
+    odd = golden.withColumn("stress_level", F.when(F.col("hrv") > 66.5, 99.0).otherwise(F.col("stress_level")))
     files.write_json_batches(odd, str(tmp_path / "odd"))
     with pytest.raises(ValidationError, match="stress_level_range"):
         ingest.ingest_json(spark, str(tmp_path / "odd"), table)
