@@ -30,7 +30,7 @@ def matching(df: DataFrame, equals: dict[str, str] | None = None,
 
 
 def fully_matches(c: Column, pattern: str) -> Column:
-    return c.rlike(f"^(?:{pattern})$")
+    return c.rlike(rf"\A(?:{pattern})\z")
 
 
 def windowed(log: DataFrame, keys, width: int, counts: list[Column],

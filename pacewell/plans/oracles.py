@@ -306,7 +306,7 @@ ORACLES = {
     "s06_load_all": _with("perf_raw", f"SELECT {RECORD} FROM perf_raw"),
     "s07_prediction_log": _with(
         "requests", f"SELECT athlete_id, prediction_date, {FORMULA_SCORE} AS performance_score, "
-                    f"'1.0' AS model_version, {CRITICAL}, {_FALSY} FROM requests WHERE {CRITICAL_PRESENT}"),
+                    f"'1.0' AS model_version, {_DEFAULTED}, {_FALSY} FROM requests"),
     "s08_training_run_log": _with(
         "scored", "SELECT '1.0' AS model_version, count(*) AS samples_used, 'completed' AS status, "
                   + ", ".join(
@@ -360,6 +360,7 @@ ORACLES = {
         "perf_raw", "SELECT record_key, CASE WHEN row_number() OVER (ORDER BY md5(concat('42:', record_key)), "
                     f"record_key, {RECORD}) <= ceil(CAST(0.2 AS DOUBLE) * count(*) OVER ()) "
                     "THEN 'test' ELSE 'train' END AS split FROM perf_raw"),
+    "d02_minimum_rows": "SELECT * FROM (VALUES ('few', 10, 7), ('none', 10, 0)) AS t(subset, required, actual)",
     "d05_sample_counts": _with("parted", "SELECT split, count(*) AS n_rows FROM parted GROUP BY 1"),
     "d06_full_dataset": _with(
         "parted", "SELECT split, count(*) AS n_rows, "
@@ -375,6 +376,12 @@ ORACLES = {
         ("wide", "SELECT " + ", ".join(f"avg({f}) AS mean_{f}, stddev_pop({f}) AS std_{f}" for f in FEATURES)
                  + " FROM parted WHERE split = 'train'")),
     "s10_model_store": _with("parted", "SELECT count(*) AS n_rows, count(*) AS n_equal FROM parted"),
+    "m03_forest_fit": _with("parted", "SELECT split, count(*) AS n_rows, 100 AS n_trees, 10 AS depth, 1 AS is_good "
+                                      "FROM parted GROUP BY 1"),
+    "m04_batch_predict": _with("cleaned", "SELECT athlete_id, count(*) AS n_rows, count(*) AS n_possible, "
+                                          "CAST(0 AS BIGINT) AS n_far FROM cleaned GROUP BY 1"),
+    "m14_score_job": _with("requests", "SELECT athlete_id, count(*) AS n_rows, count(*) AS n_possible, 1 AS is_equal "
+                                       "FROM requests GROUP BY 1"),
     "m13_train_job": _with(
         "parted", "SELECT 'completed' AS status, '1.0' AS model_version, (SELECT count(*) FROM parted) AS samples_used, "
                   "concat(side, '_', name) AS metric, 1 AS is_good FROM (VALUES ('train'), ('test')) AS s(side) "
@@ -386,8 +393,7 @@ ORACLES = {
         "scored", " UNION ALL ".join(
             f"SELECT concat(split, '_{m}') AS metric, round({text}, 6) AS value FROM centred GROUP BY split"
             for m, text in _METRICS.items()), ("centred", _CENTRED)),
-    "m11_version_stamp": _with("requests", "SELECT '1.0' AS model_version, count(*) AS n_rows FROM requests "
-                                           f"WHERE {CRITICAL_PRESENT}"),
+    "m11_version_stamp": _with("requests", "SELECT '1.0' AS model_version, count(*) AS n_rows FROM requests"),
     "m12_rounded_answer": _with("cleaned", f"SELECT record_key, round(round(({FORMULA_SCORE}) / 7, 6), 2) AS score "
                                            "FROM cleaned"),
     "m14_score_formula": _with("requests", f"SELECT athlete_id, prediction_date, round(round({FORMULA_SCORE}, 6), 2) "
@@ -523,7 +529,7 @@ ORACLES = {
     "t02_rate_stream": _closed(_TITLED_RATES),
     "t03_scoring_stream": _with(
         "perf_raw", "SELECT athlete_id, record_date AS prediction_date, '1.0' AS model_version, count(*) AS n_rows, "
-                    f"count(*) AS n_possible FROM perf_raw WHERE {CRITICAL_PRESENT} GROUP BY ALL"),
+                    "count(*) AS n_possible FROM perf_raw GROUP BY ALL"),
     "t04_alert_stream": _closed(_ERROR_ALERT),
     "t04_latency_alert_stream": _closed(_LATENCY_ALERT),
     "t04_service_down_stream": _DOWN_ALERT,

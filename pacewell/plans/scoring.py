@@ -1,13 +1,15 @@
 """Scoring: requests to logged predictions and rounded answers."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacewell.operators.features import request_defaults, serving_features
 from pacewell.plans import model as models
-from pacewell.schemas import SENSORS
+from pacewell.schemas import FEATURES, SENSORS
 from pacewell.settings import MODEL_VERSION, SERVING_DEFAULTS
-from pacewell.sources.tables import append_predictions, prediction_rows
+from pacewell.sources.tables import append_predictions, load_predictions, prediction_rows
 
 
 def features_for(requests: DataFrame, fill_values: dict[str, float] | None = None) -> DataFrame:
@@ -25,9 +27,13 @@ def features_for(requests: DataFrame, fill_values: dict[str, float] | None = Non
     return serving_features(requests, fill_values)
 
 
-def score_with(model, requests: DataFrame, fill_values=None) -> DataFrame:
-    """Adds ``prediction``; walking the trees is the costly part of a row."""
-    return models.score(model, models.more_partitions(features_for(requests, fill_values)))
+def score_with(model, requests: DataFrame, fill_values=None, partitions: int | None = None) -> DataFrame:
+    """Adds ``prediction``. Walking the trees is the costly part of a row, so
+    ``partitions`` deals the requests out where the input has too few."""
+    ready = features_for(requests, fill_values)
+    if partitions is not None:
+        ready = models.dealt(ready, partitions, FEATURES)
+    return models.score(model, ready)
 
 
 def answers(rows: DataFrame) -> DataFrame:
@@ -39,13 +45,19 @@ def answers(rows: DataFrame) -> DataFrame:
 
 def score_job(requests: DataFrame, model_path: str, log_path: str | None = None,
               fill_values: dict[str, float] | None = None,
-              version: str = MODEL_VERSION) -> DataFrame:
-    """Scores a batch, appends it to the log if given, returns the answers."""
-    rows = prediction_rows(score_with(models.load(model_path), requests, fill_values),
+              version: str = MODEL_VERSION, partitions: int | None = None) -> DataFrame:
+    """Scores a batch and returns the answers.
+
+    With a log the trees are walked once: the batch is appended under an id of
+    its own, and the answers are those log rows.
+    """
+    rows = prediction_rows(score_with(models.load(model_path), requests, fill_values, partitions),
                            version=version)
-    if log_path:
-        append_predictions(rows, log_path)
-    return answers(rows)
+    if not log_path:
+        return answers(rows)
+    batch = uuid.uuid4().hex
+    append_predictions(rows, log_path, batch)
+    return answers(load_predictions(requests.sparkSession, log_path, batch))
 
 
 def score_record(spark: SparkSession, model_path: str, features: dict[str, float],

@@ -18,6 +18,7 @@ from pacewell.schemas import (
 from pacewell.settings import MODEL_VERSION, SERVING_DEFAULTS
 
 MONTH = "record_month"
+BATCH = "batch"
 
 
 def _stamped(df: DataFrame) -> DataFrame:
@@ -80,14 +81,19 @@ def log_rows(rows: DataFrame) -> DataFrame:
     return _shaped(_stamped(rows), PREDICTIONS)
 
 
-def append_predictions(rows: DataFrame, path: str) -> int:
+def append_predictions(rows: DataFrame, path: str, batch: str = "unnamed") -> int:
+    """Appends to the log; each batch is a folder, so that it can be read alone."""
     seen = Observation()
-    log_rows(rows).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    logged = log_rows(rows).observe(seen, F.count(F.lit(1)).alias("n")).withColumn(BATCH, F.lit(batch))
+    logged.write.mode("append").partitionBy(BATCH).parquet(path)
     return seen.get["n"]
 
 
-def load_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PREDICTIONS).parquet(path)
+def load_predictions(spark: SparkSession, path: str, batch: str | None = None) -> DataFrame:
+    """The log, or one of its batches."""
+    if batch is not None:
+        return spark.read.schema(PREDICTIONS).parquet(f"{path}/{BATCH}={batch}")
+    return spark.read.option("recursiveFileLookup", True).schema(PREDICTIONS).parquet(path)
 
 
 def append_training_run(spark: SparkSession, path: str, samples_used: int,

@@ -12,9 +12,10 @@ from pyspark.storagelevel import StorageLevel
 from pacewell.functions.histogram import bucket_columns, cumulative_counts, quantile
 from pacewell.operators.alerts import evaluate
 from pacewell.operators.intake import coerce, split_valid
+from pacewell.operators.observability import fully_matches
 from pacewell.operators.timeline import closing_state
 from pacewell.plans import model as models
-from pacewell.plans.scoring import features_for
+from pacewell.plans.scoring import score_with
 from pacewell.settings import LATENCY_BOUNDS, MODEL_VERSION, AlertRule
 from pacewell.sources.files import csv_reader, flag_undecodable
 from pacewell.sources.tables import log_rows, performance_rows, prediction_rows
@@ -68,7 +69,7 @@ def rate_stream(log: DataFrame, keys=(), width: int = 300, slide: int | None = N
 
 
 def error_ratio_stream(log: DataFrame, keys=(), width: int = 300, late: str = "10 minutes") -> DataFrame:
-    failed = F.when(F.col("status").rlike("^(?:5..)$"), F.lit(1))
+    failed = F.when(fully_matches(F.col("status"), "5.."), F.lit(1))
     counted = watermarked(log, late).groupBy(_window(width, None).alias("w"), *keys).agg(
         F.count(failed).alias("errors"), F.count(F.lit(1)).alias("n"))
     return counted.select(*keys, F.col("w.start").alias("window_start"),
@@ -98,10 +99,10 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, trigger=None):
 
 
 def scoring_stream(requests: DataFrame, model_path: str, log_path: str, checkpoint: str,
-                   fill_values=None, version: str = MODEL_VERSION, trigger=None):
-    """Scores a stream of requests into the prediction log."""
-    model = models.load(model_path)
-    scored = models.score(model, features_for(requests, fill_values))
+                   fill_values=None, version: str = MODEL_VERSION, trigger=None,
+                   partitions: int | None = None):
+    """Scores a stream of requests into the prediction log; ``partitions`` as in ``score_with``."""
+    scored = score_with(models.load(model_path), requests, fill_values, partitions)
     rows = log_rows(prediction_rows(scored, version=version))
     return append_stream(rows, log_path, checkpoint, trigger)
 
