@@ -8,7 +8,7 @@ from pacewell.errors import ValidationError
 from pacewell.functions.columns import names_where, nan_to_null
 from pacewell.functions.validation import broken, rule_conditions, violations
 from pacewell.schemas import CRITICAL, OPTIONAL, REQUIRED
-from pacewell.settings import MAX_BATCH_RECORDS, PROFILES
+from pacewell.settings import PROFILES
 
 PARSE_FAILED = "parse_failed"
 # The raw line of a record that is not well-formed, as the CSV scan gives it.
@@ -110,19 +110,18 @@ def require_valid(df: DataFrame, profile: str = "ingest") -> DataFrame:
     return good
 
 
-def oversized_groups(df: DataFrame, by, limit: int | None = MAX_BATCH_RECORDS) -> DataFrame:
+def oversized_groups(df: DataFrame, by, limit: int | None = None) -> DataFrame:
     """Groups (files, batches, athletes) holding more rows than allowed."""
     counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.filter(F.lit(False) if limit is None else F.col("n_rows") > limit)
 
 
-def require_batch_size(df: DataFrame, by, limit: int | None = MAX_BATCH_RECORDS) -> DataFrame:
-    """Rejects input holding an empty total or an oversized group."""
-    if limit is None:
-        return df
-    over = oversized_groups(df, by, limit).take(1)
-    if over:
-        raise ValidationError(f"a batch has {over[0]['n_rows']} rows, at most {limit} allowed")
+def require_batch_size(df: DataFrame, by, limit: int | None = None) -> DataFrame:
+    """Rejects input that is empty, or holds a group above a limit if one is given."""
+    if limit is not None:
+        over = oversized_groups(df, by, limit).take(1)
+        if over:
+            raise ValidationError(f"a batch has {over[0]['n_rows']} rows, at most {limit} allowed")
     if not df.take(1):
         raise ValidationError("a batch needs at least one row")
     return df

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pacewell.operators.intake import coerce, require_valid, split_valid
-from pacewell.settings import MAX_BATCH_RECORDS
 from pacewell.sources import files
 from pacewell.sources.tables import append_performance
 
@@ -21,8 +20,11 @@ def ingest_csv(spark: SparkSession, path: str, table_path: str,
 
 
 def ingest_json(spark: SparkSession, path: str, table_path: str, profile: str = "ingest",
-                max_records: int | None = MAX_BATCH_RECORDS, by_month: bool = False) -> int:
-    """Range-checked batches: one bad record rejects all of them."""
+                max_records: int | None = None, by_month: bool = False) -> int:
+    """Range-checked batches: one bad record or document rejects all of them.
+
+    ``ingest_or_quarantine`` of a lenient read keeps the good ones instead.
+    """
     records = files.read_json_batches(spark, path, max_records)
     return append_performance(require_valid(records, profile), table_path, by_month)
 

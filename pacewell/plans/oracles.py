@@ -148,6 +148,20 @@ ANY_BAD = " OR ".join(f"coalesce({bad}, FALSE)" for bad in INGEST.values())
 VERDICT = _with("perf_raw", f"SELECT CASE WHEN {ANY_BAD} THEN 'bad' ELSE 'good' END AS verdict, "
                             "count(*) AS n_rows FROM perf_raw GROUP BY 1")
 
+_FIRST = " ".join(f"WHEN coalesce({bad}, FALSE) THEN '{name}'" for name, bad in INGEST.items())
+
+
+def _first_violations(damaged: str = "", known_id: str = "athlete_id") -> str:
+    return _with("perf_raw", "SELECT first_violation, count(*) AS n_rows, count(DISTINCT known_id) AS n_athletes FROM ("
+                             f"SELECT CASE {damaged} {_FIRST} ELSE 'none' END AS first_violation, {known_id} AS known_id "
+                             "FROM perf_raw) GROUP BY 1")
+
+
+FIRST_CLEAN = _first_violations()
+FIRST_DAMAGED = _first_violations(
+    "WHEN recovery_score IN (3, 9) THEN 'damaged_line' WHEN recovery_score = 6 THEN 'training_load_unparsed'",
+    "CASE WHEN recovery_score NOT IN (3, 9) THEN athlete_id END")
+
 DEFAULTS = {"sleep_hours": 7, "sleep_quality": 7, "training_load": 200, "stress_level": 5,
             "recovery_score": 7}
 _DEFAULTED = ", ".join(f"coalesce({c}, CAST({d} AS DOUBLE)) AS {c}" for c, d in DEFAULTS.items())
@@ -300,6 +314,8 @@ ORACLES = {
     "s02_csv_guards": _with("perf_raw", "SELECT athlete_id, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_damaged "
                                         "FROM perf_raw GROUP BY 1"),
     "s03_json_scan": _with("perf_raw", f"SELECT {RECORD} FROM perf_raw"),
+    "s03_json_damaged": FIRST_DAMAGED,
+    "t01_json_stream": FIRST_DAMAGED,
     "s04_frame_intake": _with("perf_raw", f"SELECT {RECORD} FROM perf_raw"),
     "s05_append_records": _with("perf_raw", "SELECT athlete_id, 2 * count(*) AS n_rows, 2 * count(*) AS n_ids, "
                                             "2 * count(*) AS n_stamped FROM perf_raw GROUP BY 1"),
@@ -525,7 +541,7 @@ ORACLES = {
     "o20_last_known": _with(
         "run_metrics", "SELECT model_version, max_by(test_mae, ROW(run_date, id)) AS test_mae FROM run_metrics "
                        "WHERE test_mae IS NOT NULL GROUP BY 1"),
-    "t01_intake_stream": VERDICT,
+    "t01_intake_stream": FIRST_CLEAN,
     "t02_rate_stream": _closed(_TITLED_RATES),
     "t03_scoring_stream": _with(
         "perf_raw", "SELECT athlete_id, record_date AS prediction_date, '1.0' AS model_version, count(*) AS n_rows, "

@@ -96,7 +96,31 @@ def s02_csv_guards(spark, sf_dir):
 def s03_json_scan(spark, sf_dir):
     path = scratch_path(spark, "s03")
     files.write_json_batches(_perf(spark, sf_dir), path)
-    return files.read_json_batches(spark, path)
+    return files.read_json_batches(spark, path).select(*RECORD_COLUMNS)
+
+
+def _damaged_documents(spark, sf_dir):
+    """A document per record: some cut short, some without records, some with a text for a number."""
+    record = F.to_json(F.struct(*RECORD_COLUMNS))
+    document = F.concat(F.lit('{"records":['), record, F.lit("]}"))
+    mistyped = F.replace(document, F.lit('"training_load":'), F.lit('"training_load":"heavy","was":'))
+    texts = _perf(spark, sf_dir).select("recovery_score", document.alias("whole"), mistyped.alias("mistyped"))
+    damaged = (
+        F.when(F.col("recovery_score") == 9.0, F.expr("left(whole, length(whole) - 3)"))
+        .when(F.col("recovery_score") == 3.0, F.lit('{"other":1}'))
+        .when(F.col("recovery_score") == 6.0, F.col("mistyped")).otherwise(F.col("whole")))
+    return texts.select(damaged.alias("value"))
+
+
+@query
+def s03_json_damaged(spark, sf_dir):
+    """Verdicts over JSON documents of which some are damaged, mistyped or empty: none disappears."""
+    path = scratch_path(spark, "s03-damaged")
+    _damaged_documents(spark, sf_dir).write.text(path)
+    checked = intake.with_violations(files.read_json_batches(spark, path, strict=False))
+    first = F.coalesce(F.get("violations", 0), F.lit("none"))
+    return checked.groupBy(first.alias("first_violation")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("athlete_id").alias("n_athletes"))
 
 
 @query
@@ -730,14 +754,27 @@ def _finish(stream):
     return stream
 
 
+def _taken_in(spark, stream, path):
+    """Verdicts and first violations of what an intake stream wrote."""
+    _finish(streams.intake_stream(stream, f"{path}/good", f"{path}/bad", f"{path}/checkpoint"))
+    good = spark.read.parquet(f"{path}/good").select(F.lit("none").alias("first_violation"), "athlete_id")
+    bad = spark.read.parquet(f"{path}/bad").select(F.get("violations", 0).alias("first_violation"), "athlete_id")
+    return good.unionByName(bad).groupBy("first_violation").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("athlete_id").alias("n_athletes"))
+
+
 @query
 def t01_intake_stream(spark, sf_dir):
     path = scratch_path(spark, "t01")
-    records = views.as_perf_raw(views.stream(spark, sf_dir, "lineitem"))
-    _finish(streams.intake_stream(records, f"{path}/good", f"{path}/bad", f"{path}/checkpoint"))
-    good = spark.read.parquet(f"{path}/good").select(F.lit("good").alias("verdict"))
-    bad = spark.read.parquet(f"{path}/bad").select(F.lit("bad").alias("verdict"))
-    return good.unionByName(bad).groupBy("verdict").agg(F.count(F.lit(1)).alias("n_rows"))
+    files.write_csv(_perf(spark, sf_dir), f"{path}/in")
+    return _taken_in(spark, streams.csv_stream(spark, f"{path}/in"), path)
+
+
+@query
+def t01_json_stream(spark, sf_dir):
+    path = scratch_path(spark, "t01-json")
+    _damaged_documents(spark, sf_dir).write.text(f"{path}/in")
+    return _taken_in(spark, streams.json_stream(spark, f"{path}/in"), path)
 
 
 def _log_stream(spark, sf_dir):

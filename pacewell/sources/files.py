@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from pacewell.errors import ValidationError
 from pacewell.operators.intake import CORRUPT, coerce, require_batch_size, require_columns
-from pacewell.schemas import RECORD_BATCH, RECORD_COLUMNS
+from pacewell.schemas import RECORD_COLUMNS
 from pacewell.settings import MAX_BATCH_RECORDS
 
 SOURCE_FILE = "_source_file"
@@ -80,15 +80,57 @@ def read_csv(spark: SparkSession, path, strict: bool = True, recursive: bool = F
     return coerce(text, strict)
 
 
-def read_json_batches(spark: SparkSession, path, max_records: int | None = None) -> DataFrame:
-    """Records of ``{"records": [...]}`` documents, one per line."""
-    batches = spark.read.schema(RECORD_BATCH).json(path)
+def json_reader(reader, multi_line: bool = False):
+    """Options shared by the batch and the streaming JSON scan.
+
+    Every field is read as text, so that coercion judges it; a document that is
+    not well-formed, or has no list of records, keeps its text in ``_corrupt``.
+    """
+    fields = T.StructType([T.StructField(n, T.StringType()) for n in RECORD_COLUMNS])
+    schema = T.StructType([T.StructField("records", T.ArrayType(fields)), T.StructField(CORRUPT, T.StringType())])
+    return (
+        reader.schema(schema)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", multi_line)
+    )
+
+
+def json_records(documents: DataFrame) -> DataFrame:
+    """One row per record as text; a damaged document is one row with its text.
+
+    A document without a list of records is damaged too; one with an empty list
+    has no rows, and a null among the records is a record without values.
+    """
+    whole = F.when(F.col(CORRUPT).isNotNull() | F.col("records").isNull(),
+                   F.coalesce(F.col(CORRUPT), F.lit("{}")))
+    nothing = F.array(F.lit(None).cast(documents.schema["records"].dataType.elementType))
+    rows = documents.select(
+        whole.alias(CORRUPT),
+        F.explode(F.when(whole.isNotNull(), nothing).otherwise(F.col("records"))).alias("record"))
+    return rows.select(*[F.col(f"record.{c}").alias(c) for c in RECORD_COLUMNS], CORRUPT)
+
+
+def read_json_batches(spark: SparkSession, path, max_records: int | None = None, strict: bool = True,
+                      multi_line: bool = False) -> DataFrame:
+    """Records of ``{"records": [...]}`` documents, one per line or, with ``multi_line``, one per file.
+
+    Strict reading fails on the first damaged document or mistyped field;
+    otherwise ``parse_failed`` and ``_corrupt`` say what is wrong with a row.
+    ``max_records`` also refuses batches without records.
+    """
+    documents = json_reader(spark.read, multi_line).json(path)
     if max_records is not None:
-        size = F.coalesce(F.size("records"), F.lit(0))
-        wrong = batches.select(size.alias("n")).filter(~F.col("n").between(1, max_records)).take(1)
+        size = F.when(F.col(CORRUPT).isNull(), F.size("records"))
+        wrong = documents.select(size.alias("n")).filter(~F.col("n").between(1, max_records)).take(1)
         if wrong:
             raise ValidationError(f"a batch has {wrong[0]['n']} records, 1 to {max_records} allowed")
-    return batches.select(F.inline("records"))
+    records = json_records(documents)
+    if strict:
+        broken = F.raise_error(F.concat(F.lit("damaged JSON document: "), F.col(CORRUPT)))
+        records = records.withColumn("athlete_id", F.when(F.col(CORRUPT).isNotNull(), broken)
+                                     .otherwise(F.col("athlete_id"))).drop(CORRUPT)
+    return coerce(records, strict)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

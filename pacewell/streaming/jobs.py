@@ -17,7 +17,7 @@ from pacewell.operators.timeline import closing_state
 from pacewell.plans import model as models
 from pacewell.plans.scoring import score_with
 from pacewell.settings import LATENCY_BOUNDS, MODEL_VERSION, AlertRule
-from pacewell.sources.files import csv_reader, flag_undecodable
+from pacewell.sources.files import csv_reader, flag_undecodable, json_reader, json_records
 from pacewell.sources.tables import log_rows, performance_rows, prediction_rows
 
 CAUGHT_UP = {"availableNow": True}
@@ -34,6 +34,14 @@ def csv_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return flag_undecodable(reader.csv(path))
 
 
+def json_stream(spark: SparkSession, path: str, max_files: int | None = None, multi_line: bool = False) -> DataFrame:
+    """Records of JSON batch documents as text, damaged documents included."""
+    reader = json_reader(spark.readStream, multi_line)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return json_records(reader.json(path))
+
+
 def intake_stream(records: DataFrame, good_path: str, bad_path: str, checkpoint: str,
                   profile: str = "ingest", trigger=None):
     """Coerces and validates records; good and bad rows go to two tables."""
