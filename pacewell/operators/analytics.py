@@ -5,27 +5,40 @@ from pyspark.sql import functions as F
 
 from pacewell.functions.columns import iso_text, known
 from pacewell.schemas import LABEL, RECORD_COLUMNS
-from pacewell.settings import PAGE_LIMITS
 
 RUN_METRICS = ["test_mae", "test_rmse", "test_r2"]
 
 
-def _page(kind: str, limit: int) -> int:
-    if not 1 <= limit <= PAGE_LIMITS[kind]:
-        raise ValueError(f"limit must be between 1 and {PAGE_LIMITS[kind]}")
-    return limit
+def latest(df: DataFrame, n: int | None, by: str, *ties: str) -> DataFrame:
+    """Last ``n`` rows by time, newest first; all of them for ``None``.
 
-
-def latest(df: DataFrame, n: int, by: str, *ties: str) -> DataFrame:
-    """Last ``n`` rows by time; the tie columns make the choice unique.
-
-    Sort and limit stay adjacent so that each task keeps only ``n`` rows.
+    The tie columns make the choice unique. Rows are counted per day first, so
+    that a filter on the time, which the scan can use, leaves only the days the
+    newest rows are from; sort and limit then see little more than ``n`` rows.
     """
-    return df.orderBy(F.desc(by), *[F.desc(t) for t in ties]).limit(n)
-
-
-def latest_predictions(predictions: DataFrame, limit: int = 500) -> DataFrame:
-    top = latest(predictions, _page("predictions", limit), "created_at", "id")
+    order = [F.desc(by), *[F.desc(t) for t in ties]]
+    if n is None:
+        return df.orderBy(*order)
+    if n < 1:
+        raise ValueError("a listing has at least one row")
+    since = _first_day(df, n, by)
+    return (df if since is None else df.filter(F.col(by) >= F.lit(since))).orderBy(*order).limit(n)
+
+
+def _first_day(df: DataFrame, n: int, by: str):
+    """The day that the newest ``n`` rows reach back to; ``None`` if there are fewer rows with a time."""
+    # One row per day of the calendar.
+    days = df.filter(F.col(by).isNotNull()).groupBy(F.to_date(by).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    seen = 0
+    for day in sorted(days.collect(), key=lambda r: r["day"], reverse=True):
+        seen += day["n"]
+        if seen >= n:
+            return day["day"]
+    return None
+
+
+def latest_predictions(predictions: DataFrame, limit: int | None = 500) -> DataFrame:
+    top = latest(predictions, limit, "created_at", "id")
     return top.select("id", "athlete_id", "prediction_date", "performance_score",
                       "model_version", iso_text(F.col("created_at")).alias("created_at"))
 
@@ -41,29 +54,33 @@ def with_run_metrics(runs: DataFrame) -> DataFrame:
     return runs.withColumns({m: run_metric(runs, m) for m in RUN_METRICS})
 
 
-def latest_training_runs(runs: DataFrame, limit: int = 100) -> DataFrame:
+def latest_training_runs(runs: DataFrame, limit: int | None = 100) -> DataFrame:
     """Metrics are extracted after the limit, so from ``limit`` rows only."""
-    top = with_run_metrics(latest(runs, _page("training_runs", limit), "run_date", "id"))
+    top = with_run_metrics(latest(runs, limit, "run_date", "id"))
     return top.select(iso_text(F.col("run_date")).alias("run_date"), "model_version",
                       "samples_used", *RUN_METRICS, "status")
 
 
-def latest_history(records: DataFrame, limit: int = 5000, ties=("athlete_id",)) -> DataFrame:
-    return latest(records, _page("history", limit), "record_date", *ties).select(*RECORD_COLUMNS)
+def latest_history(records: DataFrame, limit: int | None = 5000, ties=("athlete_id",)) -> DataFrame:
+    return latest(records, limit, "record_date", *ties).select(*RECORD_COLUMNS)
 
 
 def prediction_figures(predictions: DataFrame) -> DataFrame:
-    """Row count, newest score and distinct athletes."""
-    return predictions.agg(
-        F.count(F.lit(1)).alias("total_predictions"),
-        F.max_by("performance_score", F.struct("created_at", "id")).alias("latest_score"),
-        F.count_distinct("athlete_id").alias("unique_athletes"),
-    )
+    """Row count, newest score and distinct athletes.
+
+    The newest score is a top-1 of its own: beside the counts it would turn
+    their hash aggregate into one that sorts every row.
+    """
+    newest = predictions.orderBy(F.desc("created_at"), F.desc("id")).limit(1).select("performance_score")
+    counts = predictions.agg(
+        F.count(F.lit(1)).alias("total_predictions"), F.count_distinct("athlete_id").alias("unique_athletes"))
+    return counts.select("total_predictions", newest.scalar().alias("latest_score"), "unique_athletes")
 
 
 def latest_run_figures(runs: DataFrame) -> DataFrame:
     """Version and test metrics of the newest run."""
-    return with_run_metrics(latest(runs, 1, "run_date", "id")).select("model_version", *RUN_METRICS)
+    newest = runs.orderBy(F.desc("run_date"), F.desc("id")).limit(1)
+    return with_run_metrics(newest).select("model_version", *RUN_METRICS)
 
 
 def athlete_ids(df: DataFrame, first: int | None = None) -> DataFrame:
@@ -117,8 +134,9 @@ def melt(df: DataFrame, ids, values) -> DataFrame:
     return df.unpivot(list(ids), present, "series", "value")
 
 
-def preview(df: DataFrame, n: int, *order) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+def preview(df: DataFrame, n: int, by: str, *ties: str) -> DataFrame:
+    """The newest ``n`` rows."""
+    return latest(df, n, by, *ties)
 
 
 def lenient_timestamp(df: DataFrame, column: str) -> DataFrame:

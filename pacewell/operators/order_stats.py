@@ -5,11 +5,13 @@ continuous sensor readings would fill. Here each pass counts values in
 equal-width buckets, partial counts combine before the shuffle, and only the
 bucket that holds the wanted rank is looked at again. What reaches the driver
 is at most ``BUCKETS`` counts per search and pass, whatever the data holds.
-Every pass splits the remaining interval at its own minimum and maximum, so
-the search always ends; readings on a sensor's grid end after the first pass.
+Every pass splits the remaining interval at its own minimum and maximum, and
+infinities are counted apart from finite values, so the search always ends; readings on a sensor's grid end after the first pass.
 """
 
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,21 +43,26 @@ class _Search:
 
 
 def _bucket(search: _Search, value: Column) -> Column:
-    width = F.lit(float(search.high - search.low))
-    part = (value - F.lit(search.low).cast(search.kind)).cast("double") / width
-    inside = F.least(F.greatest(part * BUCKETS, F.lit(0.0)), F.lit(BUCKETS - 1.0))
-    return F.floor(inside).cast("int")
+    """Bucket of a value; infinities have one each outside the finite ones.
 
+    Halves keep the width of any two doubles finite.
+    """
+    if search.kind == "double":
+        part = (value / 2 - F.lit(search.low / 2)) / F.lit(search.high / 2 - search.low / 2)
+    else:
+        part = (value - F.lit(search.low).cast(search.kind)).cast("double") / F.lit(float(search.high - search.low))
+    inside = F.floor(F.least(F.greatest(part * BUCKETS, F.lit(0.0)), F.lit(BUCKETS - 1.0))).cast("int")
+    if search.kind != "double":
+        return inside
+    return F.when(value == float("inf"), BUCKETS).when(value == float("-inf"), -1).otherwise(inside)
 
-def _value(search: _Search) -> Column:
+
+def _wanted(search: _Search) -> Column:
     """The values a pass looks at. The first takes all: bounds only guide it,
     and what lies outside is counted in the outermost buckets."""
     if search.first:
-        wanted = ~F.isnan(search.column) if search.kind == "double" else F.lit(True)
-    else:
-        wanted = search.column.between(F.lit(search.low).cast(search.kind),
-                                       F.lit(search.high).cast(search.kind))
-    return F.when(wanted, search.column)
+        return search.column.isNotNull() & ~F.isnan(search.column) if search.kind == "double" else search.column.isNotNull()
+    return search.column.between(F.lit(search.low).cast(search.kind), F.lit(search.high).cast(search.kind))
 
 
 def _count_pass(df: DataFrame, searches: list[_Search]) -> dict[int, list]:
@@ -65,7 +72,9 @@ def _count_pass(df: DataFrame, searches: list[_Search]) -> dict[int, list]:
         mine = [(i, s) for i, s in enumerate(searches) if s.kind == kind]
         # The searched columns are projected first: an expensive one, such as
         # a digest, is then computed once per row and not once per mention.
-        values = df.select(*[_value(s).alias(f"v{i}") for i, s in mine])
+        # Rows outside all intervals go first; on plain columns the scan skips them.
+        inside = reduce(or_, [_wanted(s) for _, s in mine])
+        values = df.filter(inside).select(*[F.when(_wanted(s), s.column).alias(f"v{i}") for i, s in mine])
         entries = [F.struct(F.lit(i).alias("search"), _bucket(s, F.col(f"v{i}")).alias("bucket"),
                             F.col(f"v{i}").alias("value")) for i, s in mine]
         counted = (

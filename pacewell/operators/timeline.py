@@ -97,7 +97,8 @@ def hold_state(samples: DataFrame, keys, ts: str, condition: Column, hold: int,
 
     ``since`` is when the condition last became true; the state fires once it
     has held for ``hold`` seconds. A NULL condition counts as false, and a gap
-    of more than ``max_gap`` seconds between samples breaks the hold.
+    of more than ``max_gap`` seconds between samples breaks the hold. Of samples
+    at one time, false ones come first.
 
     ``slice_seconds`` cuts long series into slices; leave it out where the
     samples are already one row per series and window. ``carried`` is the
@@ -107,9 +108,7 @@ def hold_state(samples: DataFrame, keys, ts: str, condition: Column, hold: int,
     if slice_seconds is None:
         marked = _mark(rows, keys, ts, max_gap, carried)
     else:
-        if carried is not None:
-            raise ValueError("carried state needs unsliced input")
-        marked = _mark_sliced(rows, keys, ts, max_gap, slice_seconds)
+        marked = _mark_sliced(rows, keys, ts, max_gap, slice_seconds, carried)
     held = seconds(F.col(ts)) - seconds(F.col("since"))
     state = (F.when(~F.col("_on"), "inactive")
              .when(held >= hold, "firing").otherwise("pending"))
@@ -124,13 +123,18 @@ def _continues(on_before, ts_before, ts, max_gap) -> Column:
     return linked
 
 
+def _carried(rows, carried, keys) -> DataFrame:
+    """Adds what the state before says of each series."""
+    state = carried.select(*keys, F.col("last_ts").alias("_c_ts"),
+                           F.col("last_on").alias("_c_on"), F.col("since").alias("_c_since"))
+    return rows.join(state, list(keys), "left")
+
+
 def _mark(rows, keys, ts, max_gap, carried) -> DataFrame:
-    along = Window.partitionBy(*keys).orderBy(ts)
+    along = Window.partitionBy(*keys).orderBy(ts, "_on")
     on_before, ts_before, since_before = F.lag("_on").over(along), F.lag(ts).over(along), None
     if carried is not None:
-        state = carried.select(*keys, F.col("last_ts").alias("_c_ts"),
-                               F.col("last_on").alias("_c_on"), F.col("since").alias("_c_since"))
-        rows = rows.join(state, list(keys), "left")
+        rows = _carried(rows, carried, keys)
         on_before = F.coalesce(on_before, F.col("_c_on"))
         ts_before = F.coalesce(ts_before, F.col("_c_ts"))
         since_before = F.col("_c_since")
@@ -144,9 +148,10 @@ def _mark(rows, keys, ts, max_gap, carried) -> DataFrame:
         "_start", "_c_ts", "_c_on", "_c_since")
 
 
-def _mark_sliced(rows, keys, ts, max_gap, width) -> DataFrame:
+def _mark_sliced(rows, keys, ts, max_gap, width, carried) -> DataFrame:
     rows = _sliced(rows, ts, width)
-    inside = Window.partitionBy(*keys, SLICE).orderBy(ts)
+    inside = Window.partitionBy(*keys, SLICE).orderBy(ts, "_on")
+    at = F.struct(ts, "_on")
     along = Window.partitionBy(*keys).orderBy(SLICE)
     on_before, ts_before = F.lag("_on").over(inside), F.lag(ts).over(inside)
     # The first row of a slice is judged below, against the slice before.
@@ -156,17 +161,22 @@ def _mark_sliced(rows, keys, ts, max_gap, width) -> DataFrame:
     slices = begun.groupBy(*keys, SLICE).agg(
         F.min(ts).alias("_first_ts"),
         F.max(ts).alias("_last_ts"),
-        F.min_by("_on", ts).alias("_first_on"),
-        F.max_by("_on", ts).alias("_last_on"),
+        F.min_by("_on", at).alias("_first_on"),
+        F.max_by("_on", at).alias("_last_on"),
         F.max("_start").alias("_inner"),
     )
-    linked = _continues(F.lag("_last_on").over(along), F.lag("_last_ts").over(along),
-                        F.col("_first_ts"), max_gap)
+    on_end, ts_end, since_end = F.lag("_last_on").over(along), F.lag("_last_ts").over(along), F.lit(None)
+    if carried is not None:
+        slices = _carried(slices, carried, keys)
+        on_end, ts_end = F.coalesce(on_end, "_c_on"), F.coalesce(ts_end, "_c_ts")
+        since_end = F.col("_c_since")
+    linked = _continues(on_end, ts_end, F.col("_first_ts"), max_gap)
     opened = slices.withColumn("_head", F.when(F.col("_first_on") & ~linked, F.col("_first_ts")))
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     chained = opened.withColumn("_inherited", F.coalesce(
         "_head",
         F.last(F.coalesce("_inner", "_head"), ignorenulls=True).over(before),
+        since_end,
     ))
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     marked = begun.withColumn("_own", F.last("_start", ignorenulls=True).over(running))
@@ -179,7 +189,7 @@ def _mark_sliced(rows, keys, ts, max_gap, width) -> DataFrame:
 
 def closing_state(held: DataFrame, keys, ts: str) -> DataFrame:
     """The last sample of each series, to carry into the next batch."""
-    last = F.max_by(F.struct(F.col(ts).alias("last_ts"),
-                             (F.col("state") != "inactive").alias("last_on"),
-                             F.col("since").alias("since")), F.col(ts))
+    on = F.col("state") != "inactive"
+    last = F.max_by(F.struct(F.col(ts).alias("last_ts"), on.alias("last_on"), F.col("since").alias("since")),
+                    F.struct(F.col(ts), on))
     return held.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*")

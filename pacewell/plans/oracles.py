@@ -283,7 +283,7 @@ _ALL_FIELDS = ", ".join(f"{c} DESC" for c in
                          "resting_heart_rate", "hrv", "performance_score"))
 
 _HISTORY_PAGE = (
-    ("page", f"SELECT * FROM perf_raw ORDER BY {_ALL_FIELDS} LIMIT 5000"),
+    ("page", "SELECT * FROM perf_raw"),
     ("chosen", "SELECT * FROM page WHERE athlete_id IN (SELECT DISTINCT athlete_id FROM page ORDER BY 1 LIMIT 5)"),
 )
 
@@ -429,8 +429,7 @@ ORACLES = {
     "a04_prediction_figures_page": _with(
         "predictions", "SELECT count(*) AS total_predictions, (SELECT performance_score FROM "
                        f"({_latest('predictions', 1, 'created_at')})) AS latest_score, "
-                       "count(DISTINCT athlete_id) AS unique_athletes FROM "
-                       f"({_latest('predictions', 500, 'created_at')})"),
+                       "count(DISTINCT athlete_id) AS unique_athletes FROM predictions"),
     "a05_latest_run_figures": _with(
         "run_metrics", "SELECT model_version, test_mae, test_rmse, test_r2, "
                        + ", ".join(f"coalesce(printf('%.3f', {m}), 'N/A') AS {m}_shown" for m in _RUN_METRICS)
@@ -461,8 +460,7 @@ ORACLES = {
         "run_metrics", "SELECT model_version, "
                        + ", ".join(f"coalesce(printf('%.3f', {m}), 'N/A') AS {m}" for m in _RUN_METRICS)
                        + f" FROM ({_latest('run_metrics', 1, 'run_date')})"),
-    "a10_series_in_order": _with("predictions", "SELECT id, created_at, performance_score FROM "
-                                                f"({_latest('predictions', 500, 'created_at')})"),
+    "a10_series_in_order": _with("predictions", "SELECT id, created_at, performance_score FROM predictions"),
     "a11_melted_runs": _with("run_metrics", " UNION ALL ".join(
         f"SELECT id, run_date, '{m}' AS series, {m} AS value FROM run_metrics" for m in _RUN_METRICS)),
     "a13_previews": _with(

@@ -518,8 +518,7 @@ def a04_prediction_figures(spark, sf_dir):
 
 @query
 def a04_prediction_figures_page(spark, sf_dir):
-    page = analytics.latest(views.predictions(spark, sf_dir), 500, "created_at", "id")
-    return analytics.prediction_figures(page)
+    return dashboard.predictions_page(views.predictions(spark, sf_dir)).figures
 
 
 @query
@@ -541,7 +540,8 @@ def a06_default_athletes(spark, sf_dir):
 @query
 def a07_athlete_filter(spark, sf_dir):
     perf = _perf(spark, sf_dir)
-    return analytics.for_athletes(perf, analytics.athlete_ids(perf, 5)).select("record_key", *RECORD_COLUMNS)
+    first = [r["athlete_id"] for r in analytics.athlete_ids(perf, 5).collect()]
+    return analytics.for_athletes(perf, first).select("record_key", *RECORD_COLUMNS)
 
 
 @query
@@ -574,8 +574,7 @@ def a05_training_page_figures(spark, sf_dir):
 
 @query
 def a10_series_in_order(spark, sf_dir):
-    page = analytics.latest(views.predictions(spark, sf_dir), 500, "created_at", "id")
-    return analytics.series_in_order(page, "created_at", "id").select("id", "created_at", "performance_score")
+    return analytics.series_in_order(views.predictions(spark, sf_dir), "created_at", "id").select("id", "created_at", "performance_score")
 
 
 @query
@@ -588,7 +587,7 @@ def a11_melted_runs(spark, sf_dir):
 def a13_previews(spark, sf_dir):
     ids = [
         analytics.preview(df.select(F.col(key).cast("string").alias("row_id"), time), n,
-                          F.desc(time), F.desc("row_id")).select("row_id", F.lit(page).alias("page"))
+                          time, "row_id").select("row_id", F.lit(page).alias("page"))
         for df, key, time, n, page in (
             (views.predictions(spark, sf_dir), "id", "created_at", 180, "predictions"),
             (views.training_runs(spark, sf_dir), "id", "run_date", 120, "training_runs"),
@@ -828,7 +827,7 @@ def t04_service_down_stream(spark, sf_dir):
     samples.write.parquet(f"{path}/in")
     arriving = spark.readStream.schema(samples.schema).parquet(f"{path}/in")
     _finish(streams.alert_stream(arriving, alerts.SERVICE_DOWN, f"{path}/out", f"{path}/state",
-                                 f"{path}/checkpoint", keys=["job"], ts="ts", value="up"))
+                                 f"{path}/checkpoint", keys=["job"], ts="ts", value="up", slice_seconds=3600))
     return spark.read.parquet(f"{path}/out").drop("batch_id")
 
 

@@ -118,9 +118,6 @@ SERVICES = ("api", "data-ingestion", "ml-trainer")
 SERVICES_UP_STEPS = ((None, "red"), (1.0, "yellow"), (3.0, "green"))
 SUCCESS_RATIO_STEPS = ((None, "red"), (0.05, "yellow"), (0.2, "green"))
 
-# Largest page each latest-first listing serves.
-PAGE_LIMITS = {"predictions": 5000, "training_runs": 2000, "history": 20000}
-
 
 @dataclass(frozen=True)
 class AlertRule:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from pacewell.errors import ValidationError
 from pacewell.functions.histogram import bucket_columns, cumulative_counts, quantile
 from pacewell.operators.alerts import evaluate
 from pacewell.operators.intake import coerce, split_valid
@@ -117,10 +118,12 @@ def scoring_stream(requests: DataFrame, model_path: str, log_path: str, checkpoi
 
 def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str, checkpoint: str,
                  keys=(), ts: str = "window_start", value: str = "value",
-                 max_gap: int | None = None, trigger=None):
+                 max_gap: int | None = None, trigger=None, slice_seconds: int | None = None):
     """Rule states of closed windows or raw samples, held across micro-batches.
 
-    Values of a series must arrive in time order, as closed windows do.
+    Micro-batches must follow each other in time, as closed windows do: one
+    that starts before the state it finds fails, since its states would be
+    wrong. Give ``slice_seconds`` for raw samples, of which a backlog has many.
 
     The state is one row per series. Each batch reads the state its
     predecessor wrote and writes its own to another of three slots, so it can
@@ -130,7 +133,9 @@ def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         carried = _state_before(spark, state_path, batch_id)
-        held = evaluate(batch, rule, keys, ts, value, max_gap, carried=carried)
+        if carried is not None:
+            _require_order(batch.withColumn("alert", F.lit(rule.name)), carried, ["alert", *keys], ts)
+        held = evaluate(batch, rule, keys, ts, value, max_gap, slice_seconds, carried)
         held = held.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             held.write.mode("overwrite").parquet(_batch_path(path, batch_id))
@@ -148,6 +153,14 @@ def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str,
             .option("checkpointLocation", checkpoint).trigger(**(trigger or CAUGHT_UP)).start())
 
 
+def _require_order(batch: DataFrame, carried: DataFrame, keys, ts: str) -> None:
+    """Fails if a series goes on before the last sample of the batch before."""
+    first = batch.withColumns({k: F.coalesce(k, F.lit("")) for k in keys}).groupBy(*keys).agg(F.min(ts).alias("first_ts"))
+    late = first.join(carried.select(*keys, "last_ts"), list(keys)).filter(F.col("first_ts") < F.col("last_ts")).take(1)
+    if late:
+        raise ValidationError(f"samples at {late[0]['first_ts']} arrived after {late[0]['last_ts']}")
+
+
 def _slot_path(path: str, batch_id: int) -> str:
     return f"{path}/slot={batch_id % 3}"
 

@@ -116,12 +116,27 @@ def test_json_batches(spark, golden, tmp_path):
     documents = spark.read.text(path)
     assert documents.count() >= 4
     assert documents.filter("value LIKE '%\"hrv\":null%'").isEmpty()
-    back = files.read_json_batches(spark, path, max_records=4)
+    back = files.read_json_batches(spark, path, max_records=4).select(*RECORD_COLUMNS)
     assert back.exceptAll(holes).isEmpty() and holes.exceptAll(back).isEmpty()
     with pytest.raises(ValidationError):
         files.read_json_batches(spark, path, max_records=3)
 
 
+def test_json_damage_is_kept_or_refused(spark, tmp_path):
+    record = '{"athlete_id":"kim","record_date":"2031-05-04","sleep_hours":6,"sleep_quality":3,"training_load":512,"stress_level":2,"recovery_score":7}'
+    (tmp_path / "d").mkdir()
+    documents = [f'{{"records":[{record}]}}', '{"records":[{"athlete', f'{{"records":[{record.replace("6", chr(34) + "abc" + chr(34))}]}}', '{"records":[]}', '{"other":1}']
+    (tmp_path / "d" / "a.json").write_text("\n".join(documents))
+    rows = intake.with_violations(files.read_json_batches(spark, str(tmp_path / "d"), strict=False)).collect()
+    assert sorted(r["violations"][:1] for r in rows) == [[], ["damaged_line"], ["damaged_line"], ["sleep_hours_unparsed"]]
+    with pytest.raises(Exception, match="damaged JSON document|cast"):
+        files.read_json_batches(spark, str(tmp_path / "d")).collect()
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.json").write_text('{\n "records": [\n' + record + "\n]\n}")
+    assert files.read_json_batches(spark, str(tmp_path / "m"), multi_line=True).count() == 1
+    assert intake.with_violations(files.read_json_batches(spark, str(tmp_path / "m"), strict=False)).filter("violations[0] = 'damaged_line'").count() > 0
+
+
 def test_missing_columns(golden):
     with pytest.raises(ValidationError, match="record_date, sleep_hours"):
         intake.require_columns(golden.drop("record_date", "sleep_hours"))

@@ -107,11 +107,11 @@ def test_last_known_skips_null(spark):
 
 
 def test_page_limits(spark):
-    df = spark.range(3)
-    for call in (analytics.latest_predictions, analytics.latest_training_runs, analytics.latest_history):
-        for limit in (0, 20001):
-            with pytest.raises(ValueError):
-                call(df, limit)
+    df = spark.range(30).selectExpr("id", "timestamp_seconds(id * 7200) AS at")
+    for n, ids in ((1, [29]), (13, list(range(29, 16, -1))), (30, list(range(29, -1, -1))), (99, list(range(29, -1, -1))), (None, list(range(29, -1, -1)))):
+        assert [r["id"] for r in analytics.latest(df, n, "at", "id").collect()] == ids
+    with pytest.raises(ValueError):
+        analytics.latest(df, 0, "at")
 
 
 def test_athlete_filter(golden):
@@ -130,7 +130,7 @@ def test_melt_ignores_absent_columns(golden):
 def test_history_page(golden):
     page = dashboard.history_page(golden, limit=None, athletes=["runner_a"])
     assert page.figures.first()["records"] == 5
-    assert [r["value"] for r in page.series.collect()] == [82.0, 71.0, 88.0, 76.0, 65.0]
+    assert [r["value"] for r in page.series.collect()] == [31.25 + n * 17 % 61 for n in range(5)]
     assert dashboard.history_page(golden, athletes=[]).figures.first()["records"] == 15
     newest = dashboard.history_page(golden, limit=3, athletes=[]).figures.first()
     assert newest["records"] == 3 and newest["first_date"] == newest["last_date"]

@@ -89,3 +89,12 @@ def test_exact_split_of_one_key_with_different_rows(spark):
 
 def test_exact_split_of_nothing(spark):
     assert exact_split(spark.range(0), ["id"]).isEmpty()
+
+
+def test_infinities_and_wide_spans_end(spark):
+    inf = float("inf")
+    for values in ([-inf, -5.0, -4.0, 1.0, 2.0], [inf, inf, 3.0], [-1e308, -1.0, 0.5, 1e308], [-inf, inf], [-inf, -1e308, 7.0, 1e308, inf]):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        for rank, wanted in enumerate(sorted(values)):
+            found = order_stats.select_ranks(df, {"x": (F.col("x"), "double", 0.0, 10.0)}, lambda n, r=rank: [r])["x"]
+            assert found[0].value == wanted and found[0].total == len(values)

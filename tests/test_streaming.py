@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pacewell.operators import alerts, intake
 from pacewell.operators import observability as obs
 from pacewell.schemas import RECORD_COLUMNS, REQUEST_LOG
-from pacewell.settings import HIGH_ERROR_RATE
+from pacewell.settings import HIGH_ERROR_RATE, SERVICE_DOWN
 from pacewell.sources import files
 from pacewell.streaming import jobs
 
@@ -103,3 +103,41 @@ def test_alert_held_across_batches(spark, log, tmp_path):
     expected = closed(alerts.high_error_rate(log), log)
     assert rows_of(got, *names) == rows_of(expected, *names)
     assert got.filter("state = 'firing'").count() > 5
+
+
+def up_files(spark, path, order):
+    """Raw samples of one job, down from minute 5 on, as files of ten minutes that arrive in the given order."""
+    for part in order:
+        rows = [(START + timedelta(minutes=m), "api", 0 if m >= 5 else 1) for m in range(10 * part, 10 * part + 10)]
+        spark.createDataFrame(rows, "ts timestamp, job string, up int").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema("ts timestamp, job string, up int").option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def down_states(spark, stream, tmp_path, **more):
+    paths = [str(tmp_path / p) for p in ("out", "state", "c")]
+    run(jobs.alert_stream(stream, SERVICE_DOWN, *paths, keys=["job"], ts="ts", value="up", **more))
+    return rows_of(spark.read.parquet(paths[0]), "ts", "since", "state")
+
+
+@pytest.mark.parametrize("slices", [None, 120])
+def test_raw_samples_over_batches_equal_the_batch(spark, tmp_path, slices):
+    stream = up_files(spark, str(tmp_path / "in"), range(4))
+    whole = alerts.service_down(spark.read.parquet(str(tmp_path / "in")))
+    assert down_states(spark, stream, tmp_path, slice_seconds=slices) == rows_of(whole, "ts", "since", "state")
+
+
+def test_samples_out_of_order_fail(spark, tmp_path):
+    stream = up_files(spark, str(tmp_path / "in"), [1, 0])
+    with pytest.raises(Exception, match="arrived after"):
+        down_states(spark, stream, tmp_path)
+
+
+def test_json_stream_keeps_damaged_documents(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    good = '{"records":[{"athlete_id":"a1","record_date":"2031-05-04","sleep_hours":6,"sleep_quality":3,"training_load":512,"stress_level":2,"recovery_score":7}]}'
+    (source / "a.json").write_text(good + '\n{"records":[{"athlete_id"\n{"records":[]}\n' + good.replace("512", '"heavy"').replace("a1", "a2") + "\n")
+    run(jobs.intake_stream(jobs.json_stream(spark, str(source)), *[str(tmp_path / p) for p in ("good", "bad", "c")]))
+    assert [r["athlete_id"] for r in spark.read.parquet(str(tmp_path / "good")).collect()] == ["a1"]
+    bad = {r["athlete_id"]: r["violations"][0] for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
+    assert bad == {None: "damaged_line", "a2": "training_load_unparsed"}
