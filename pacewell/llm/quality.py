@@ -76,7 +76,7 @@ def text_features(texts: pa.Array) -> np.ndarray:
         breaks = np.flatnonzero(data == 10)
         line_starts = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
         line_starts = line_starts[line_starts < len(data)]
-        line_ends = np.append(line_starts[1:], len(data))
+        line_ends = np.append(line_starts[1:], len(data))[: len(line_starts)]
         line_rows = np.searchsorted(offsets, line_starts, side="right") - 1
         lines = np.maximum(np.bincount(line_rows, minlength=n), 1).astype(float)
         line_keys = textbytes.hash_spans(data, line_starts, line_ends - (data[line_ends - 1] == 10))
