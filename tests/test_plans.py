@@ -33,6 +33,24 @@ def test_listings_keep_the_top_only(stored):
     assert "TakeOrderedAndProject" in plan(analytics.latest_history(stored, 10))
 
 
+def test_listings_read_the_newest_days_only(stored):
+    scan = next(line for line in plan(analytics.latest_history(stored, 4)).splitlines() if "FileScan" in line)
+    assert "GreaterThanOrEqual(record_date,2031-03-17)" in scan
+
+
+def test_figures_do_not_sort_the_table(spark, stored):
+    figures = analytics.prediction_figures(stored.select(
+        "athlete_id", "performance_score", F.col("record_date").alias("created_at"), F.col("hrv").alias("id")))
+    text = plan(figures)
+    assert "SortAggregate" not in text and "Sort [" not in text
+
+
+def test_selected_athletes_are_filtered_in_the_scan(stored):
+    ids = [r[0] for r in analytics.athlete_ids(stored, 2).collect()]
+    text = plan(analytics.for_athletes(stored, ids))
+    assert text.count("FileScan") == 1 and "PushedFilters: [In(athlete_id" in text
+
+
 def test_daily_means_combine_before_the_shuffle(stored):
     text = plan(analytics.daily_means(stored))
     assert text.index("functions=[avg(") < text.index("hashpartitioning") < text.index("partial_avg")
