@@ -7,7 +7,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import pytest
-from comparison import connect
+from comparison import connect, mismatch
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -202,6 +202,11 @@ def test_registered():
 
 
 @pytest.mark.parametrize("name", ["op6_top_k", "op9_fingerprints"])
-def test_sql_covers_the_query(name):
+def test_query_equals_sql(spark, name):
     with connect(SMALL) as con:
-        assert con.sql(contract.oracle_sql()[name]).fetchall()
+        assert mismatch(contract.queries()[name](spark, SMALL), con, contract.oracle_sql()[name]) is None
+
+
+def test_fingerprints_run_no_python(spark):
+    plan = QUERIES["op9_fingerprints"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
