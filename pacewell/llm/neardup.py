@@ -197,15 +197,21 @@ def _levels(low: float, high: float):
 
 def _leaders(low: float, high: float):
     def join(rids: list[int], sizes: np.ndarray, rows: np.ndarray) -> list[tuple[int, int]]:
-        """Hubs of one bucket in turn; the first member is one that no hub has been near to yet."""
-        edges, left = [], np.arange(len(rids))
+        """Hubs of one bucket in turn; the first member is one that no hub has been near to yet.
+
+        Of the edges only those come out that join what is not joined yet.
+        """
+        edges, left, label = [], np.arange(len(rids)), np.arange(len(rids))
         hub = 0
         while len(left) > 1:
             others = left[left != hub]
             pair = rows[others], rows[hub][None, :]
             near = at_least(low, *pair, sizes[others], sizes[hub])
             close = near & at_least(high, *pair, sizes[others], sizes[hub])
-            edges += [(rids[i], rids[hub]) for i in others[near].tolist()]
+            found = label[others[near]]
+            _, new = np.unique(found[found != label[hub]], return_index=True)
+            edges += [(rids[i], rids[hub]) for i in others[near][found != label[hub]][new].tolist()]
+            label[np.isin(label, found)] = label[hub]
             if near.all():
                 break
             hub = int(others[~near][0])
