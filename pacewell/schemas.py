@@ -30,7 +30,6 @@ RECORD = T.StructType(
     + [T.StructField(c, T.DoubleType()) for c in _DOUBLES]
 )
 
-RECORD_BATCH = T.StructType([T.StructField("records", T.ArrayType(RECORD))])
 
 PERFORMANCE = T.StructType(
     [T.StructField("id", T.StringType())]
