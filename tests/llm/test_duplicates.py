@@ -59,6 +59,13 @@ def test_bit_parallel_distance(spark, threshold):
     df = spark.createDataFrame(rows, "a string, b string").filter(F.length("b") >= threshold)
     near, known = lines.within(F.col("a"), F.col("b"), threshold), F.levenshtein("a", "b") <= threshold
     assert df.filter(near != known).isEmpty() and df.filter(known).count() > 20
+    could = lines.plausible(F.col("a"), F.col("b"), threshold)
+    assert df.filter(known & ~could).isEmpty()
+    words = df.select(F.regexp_replace("a", "c", " ").alias("a"), F.regexp_replace("b", "c", " ").alias("b"))
+    flips = F.bit_count(lines.word_parity(F.col("a")).bitwiseXOR(lines.word_parity(F.col("b"))))
+    assert words.filter((F.levenshtein("a", "b") <= threshold) & (flips > 3 * threshold)).isEmpty()
+    far = df.select("a", F.reverse("b").alias("b")).filter("length(a) > 30")
+    assert far.filter(could).count() < 0.5 * far.count()
 
 
 def brute_lines(rows, threshold, least):
