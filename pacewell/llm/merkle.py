@@ -70,10 +70,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", fingerprint(F.col("text").cast("string")).alias("fingerprint"))
 
 
-def _bounds(keys: DataFrame, parts: int) -> list[int]:
-    """Smallest keys of ranges of about equal size; at most ``parts`` numbers reach the driver."""
-    ranged = keys.repartitionByRange(parts, "key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("key").alias("least"))
-    return sorted(r["least"] for r in ranged.collect())
+def _ranges(keys: DataFrame, parts: int) -> list[tuple[int, int]]:
+    """Smallest and largest key of ranges of about equal size; at most ``parts`` pairs reach the driver."""
+    ranged = keys.repartitionByRange(parts, "key").groupBy(F.spark_partition_id().alias("p"))
+    return sorted((r["least"], r["most"]) for r in ranged.agg(F.min("key").alias("least"), F.max("key").alias("most")).collect())
 
 
 def _range_of(key: Column, bounds: list[int]) -> Column:
@@ -90,28 +90,33 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
 
     Null ids come first, equal ids follow by the hash of their text, and null
     texts are empty. Rows are dealt by ranges of doc_id, in which a window
-    finds the next one; the first row of each range, one per range, is read
-    once more for the last row of the range before it.
+    finds the next one; the first and the last row of each range, one a range,
+    are read once more and put together.
     """
     spark = docs.sparkSession
     parts = parts or max(PARTS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     least = -(1 << 63)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(least)))
-    bounds = _bounds(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("key")), parts)
-    if not bounds:
+    ranges = _ranges(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("key")), parts)
+    if not ranges:
         return rows.select("doc_id", "text", F.col("text").alias("next_text"))
+    bounds = [r[0] for r in ranges]
     order = Window.partitionBy("range").orderBy("key", F.xxhash64("text"))
     ranged = rows.withColumn("range", _range_of(F.col("key"), bounds))
-    ranged = ranged.withColumn("next_text", F.lead("text").over(order))
-    # The heads: the first row of each range goes to the range before, that of the first to the last.
-    first = F.col("doc_id").isin([b for b in bounds if b != least])
-    first = first | F.col("doc_id").isNull() | (F.col("doc_id") == least) if bounds[0] == least else first
-    heads = rows.where(first).groupBy("key").agg(F.min_by("text", F.xxhash64("text")).alias("head"))
+    inner = ranged.withColumn("next_text", F.lead("text").over(order)).where("next_text IS NOT NULL")
+
+    def ends(keys: list[int], choose) -> DataFrame:
+        own = F.col("doc_id").isin([k for k in keys if k != least])
+        own = own | F.col("doc_id").isNull() | (F.col("doc_id") == least) if least in keys else own
+        return rows.where(own).groupBy("key").agg(choose(F.struct("doc_id", "text"), F.xxhash64("text")).alias("end"))
+
+    last = ends([r[1] for r in ranges], F.max_by).select(_range_of(F.col("key"), bounds).alias("range"), "end.doc_id", "end.text")
+    # The first row of a range follows the last one of the range before, that of the first range the last of all.
     before = F.pmod(_range_of(F.col("key"), bounds) - 2, F.lit(len(bounds))) + 1
-    last = ranged.where("next_text IS NULL").drop("next_text").join(heads.select(before.alias("range"), F.col("head").alias("next_text")), "range")
+    first = ends(bounds, F.min_by).select(before.alias("range"), F.col("end.text").alias("next_text"))
     columns = "doc_id", "text", "next_text"
-    return ranged.where("next_text IS NOT NULL").select(*columns).unionByName(last.select(*columns))
+    return inner.select(*columns).unionByName(last.join(first, "range").select(*columns))
 
 
 def edited(text: Column, following: Column) -> Column:
