@@ -109,6 +109,45 @@ def test_lines_against_all_pairs(documents):
     assert sum(r["n_links"] for r in got) > 20
 
 
+def distance(a, b):
+    above = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(above[j] + 1, now[-1] + 1, above[j - 1] + (x != y)))
+        above = now
+    return above[-1]
+
+
+def test_near_lines_follow_the_length(spark):
+    """One changed word in lines of 100 to 600 characters, scattered edits below, and one edit in short lines."""
+    rng = random.Random(6)
+    found, wanted = [], set()
+
+    def word():
+        return "".join(rng.choice("abcdefghiklmnoprstuvwy") for _ in range(rng.randint(3, 9)))
+
+    for chars in [*range(10, 104, 3), 19, 20, 59, 60, 79, 80, 99, 100, *range(105, 620, 25), 2000]:
+        base = word()
+        while len(base) < chars:
+            base += " " + word()
+        base = base[:chars].strip().ljust(chars, "z")
+        words = base.split(" ")
+        changed = list(words)
+        changed[rng.randrange(len(words))] = word()
+        near = mutated(rng, base, 1 if chars < 20 else max(2, min(chars, 99) // 20), "qxjé😀") if chars < 100 else None
+        found += [base, " ".join(changed), *filter(None, [near])]
+    found = sorted(set(found))
+    for a, b in combinations(found, 2):
+        n, m = sorted((len(a), len(b)))
+        most = 0 if n < 10 else 1 if n < 20 else max(2, n // 20)
+        if m - n <= most and distance(a, b) <= most:
+            wanted.add((a, b))
+    ids = spark.createDataFrame(list(enumerate(found)), "id long, line string")
+    got = {(found[r["a"]], found[r["b"]]) for r in lines.near_lines(ids).collect()}
+    assert got == wanted and sum(len(a) >= 100 for a, _ in wanted) > 15 and sum(len(a) < 20 for a, _ in wanted) >= 3
+
+
 def test_no_python_in_line_dedup(spark):
     plan = lines.op1_line_dedup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan and "CartesianProduct" not in plan
