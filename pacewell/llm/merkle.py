@@ -1,4 +1,4 @@
-"""Document fingerprints: a Merkle tree over runs of words, paragraphs and sections.
+"""Document fingerprints: hashes over runs of words, sections and the whole text.
 
 Paragraphs are lines; a paragraph's leaves are its runs of LEAF_WORDS words. A
 section is SECTION_LINES paragraphs in a row. The fingerprint is text:
@@ -6,9 +6,11 @@ section is SECTION_LINES paragraphs in a row. The fingerprint is text:
     root|section:leaf,leaf;leaf|section:leaf...
 
 with commas between the leaves of a paragraph and semicolons between
-paragraphs. A section's hash covers its leaves and the root covers the
-sections, so equal roots mean equal texts, differing sections narrow an edit
-down, and differing leaves locate it. All of it is column expressions.
+paragraphs. A section's hash covers its leaves; the root is a hash of the
+whole text, not of the section hashes, and paragraphs have no hash of their
+own. Equal roots mean equal texts, differing sections narrow an edit down, and
+differing leaves locate it. Sections and leaves are fixed runs, so an inserted
+line or word also changes those after it. All of it is column expressions.
 """
 
 from __future__ import annotations
