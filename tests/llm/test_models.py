@@ -210,3 +210,77 @@ def test_query_equals_sql(spark, name):
 def test_fingerprints_run_no_python(spark):
     plan = QUERIES["op9_fingerprints"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
+
+
+def test_stages_against_plain_python(spark, documents, tokens):
+    """Each stage's rows on planted texts: scores, near lines, near copies, targets and packed pieces."""
+    rng = random.Random(12)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghiklmnoprstuvw") for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+    texts = ["\n".join(words(30) for _ in range(3)) for _ in range(24)]
+    cut = texts[0].split("\n")[0].split(" ")
+    texts.append(words(30) + "\n" + " ".join([*cut[:12], cut[12][::-1], *cut[13:]]))  # a line of the first text with one word changed
+    base = words(120).split(" ")
+    texts.append(" ".join(base))
+    texts.append(" ".join([*base[:60], *words(3).split(" "), *base[63:]]))  # a near copy
+    texts += ["buy now !!! ### $$$ " * 12, "### ### ###"]
+    rows = [(i, t, "en", "hot" if i % 4 else "rare") for i, t in enumerate(texts)]
+    docs = documents(rows, extra=False)
+
+    good = corpus_pipeline.good_quality(spark, docs, SMALL)
+    model = quality.fit(quality.features(docs), quality.training_labels(spark, SMALL))
+    scores = model.score(quality.text_features(pa.array(texts)))
+    assert {r["doc_id"] for r in good.collect()} == {i for i, s in enumerate(scores) if s >= quality.THRESHOLD}
+
+    def edits(a, b):
+        up = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            now = [i]
+            for j, y in enumerate(b, 1):
+                now.append(min(up[j] + 1, now[-1] + 1, up[j - 1] + (x != y)))
+            up = now
+        return up[-1]
+
+    kept, wanted = [], {}
+    for i, text in enumerate(texts):
+        own = []
+        for line in text.split("\n"):
+            most = lambda other: max(2, min(len(line), len(other)) // 20)
+            if not any(abs(len(line) - len(k)) <= most(k) and edits(line, k) <= most(k) for k in kept):
+                own.append(line)
+            kept.append(line)
+        if own:
+            wanted[i] = "\n".join(own)
+    lined = corpus_pipeline.own_lines(spark, docs, SMALL)
+    assert {r["doc_id"]: r["text"] for r in lined.collect()} == wanted and wanted[24] != texts[24]
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    sets, single = {i: shingles(t) for i, t in enumerate(texts)}, {}
+    for i in sets:
+        single[i] = next((j for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])), i)
+    alone = corpus_pipeline.one_of_each(spark, docs, SMALL)
+    assert {r["doc_id"] for r in alone.collect()} == {i for i, j in single.items() if i == j} and single[26] == 25
+
+    taken, sizes = Counter(), {"hot": [], "rare": []}
+    for _, t, _, s in rows:
+        sizes[s].append(len(t.split()))
+    mixed = corpus_pipeline.mixed(spark, docs, SMALL)
+    for r in mixed.collect():
+        taken[r["source"]] += len(r["text"].split())
+    for s, target in zip(("hot", "rare"), mixing.targets([sum(sizes["hot"]), sum(sizes["rare"])], [1, 2])):
+        passes, sums = int(target // sum(sizes[s])), {0}
+        for n in sizes[s]:
+            sums |= {n + old for old in sums}
+        assert abs(taken[s] - target) == pytest.approx(min(abs(passes * sum(sizes[s]) + n - target) for n in sums), abs=1)
+
+    pieces = corpus_pipeline.packed(spark, docs, SMALL).collect()
+    assert Counter(r["doc_id"] for r in pieces if r["start"] == 0) == Counter(range(len(texts)))
+    for i, text in enumerate(texts):
+        own = sorted((r["start"], r["length"]) for r in pieces if r["doc_id"] == i)
+        assert [start for start, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))]
+        assert sum(n for _, n in own) - len(tokens(text)) in (0, 1)  # an end mark may follow
