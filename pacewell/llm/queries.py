@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from pacewell.llm import language, lines, merkle, mixing, neardup, packing, quality, recount, tokenfiles, topk
+from pacewell.llm import bpe, language, lines, merkle, mixing, neardup, packing, quality, recount, tokenfiles, topk
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op9_fingerprints": merkle.op9_fingerprints,
     "op10_mixing": mixing.op10_mixing,
+    "op11_bpe": bpe.op11_bpe,
 }
 
 ORACLES: dict[str, str] = {

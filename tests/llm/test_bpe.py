@@ -1,0 +1,156 @@
+"""BPE from a lexicon against the tokenizers library on whole texts."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from pacewell.llm import bpe, common, lexicon, pretokens
+
+WHITE = [" ", "  ", "\n", "\n\n", "\t", "\r\n", " ", "\u0085", "\x1c", "　", " ", "​"]
+PARTS = ["word", "it's", "99", "...", "é", "日本", "😀", "<|endoftext|>", "<|endof", "text|>", "A-b", "\x00", "'", "'s", "'ll", "'re", "''t", "'d've", "½", "Ა", "Ꟛ"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(common.tokenizer_path())
+
+
+@pytest.fixture(scope="module")
+def rules():
+    return bpe.tokenizer(common.tokenizer_path())
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(5)
+    made = ["".join(rng.choice(WHITE if rng.random() < 0.4 else PARTS) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    return [*made, None, "", "x" * 200_000, "ab " * 100_000]
+
+
+def words_of(rules, texts):
+    found = set()
+    for text in texts:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        starts, added = pretokens.split(data, np.array([0, len(data)]), rules.added)
+        ends = [*starts[1:].tolist(), len(data)]
+        found |= {data[a:b].tobytes() for a, b, x in zip(starts.tolist(), ends, added) if x < 0 and b - a <= bpe.LONGEST_WORD}
+    return sorted(found)
+
+
+def test_pre_tokens_are_the_library_s(library, texts):
+    for text in texts[:1000]:
+        if not text or "<|endoftext|>" in text:
+            continue
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts, _ = pretokens.split(data, np.array([0, len(data)]))
+        wanted = [len(text[:a].encode()) for _, (a, _) in library.pre_tokenizer.pre_tokenize_str(text)]
+        assert starts.tolist() == wanted
+
+
+def test_classes_of_all_kinds_of_characters():
+    rng = random.Random(9)
+    sample = [*range(0x250), *rng.sample(range(0x250, 0xD800), 4000), *rng.sample(range(0xE000, 0x110000), 4000)]
+    known = pretokens._classified(np.array(sample, np.uint32))
+    assert known.tolist() == [pretokens._settled(c) for c in sample]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.5, 1.0])
+def test_ids_are_the_library_s(library, rules, texts, share):
+    words = words_of(rules, texts[:500])
+    kept = words[: int(len(words) * share)]
+    encoder = bpe.Encoder(rules, lexicon.Lexicon(lexicon.packed(lexicon.build(kept, [rules.merge(w) for w in kept]))) if kept else None)
+    for array in (pa.array(texts), pa.array(["cut", *texts], pa.large_string())[1:]):
+        for first, ids, bounds in encoder.encode(array):
+            decoded = rules.decode(ids, bounds)
+            for row, (a, b) in enumerate(zip(bounds, bounds[1:]), first):
+                wanted = library.encode(texts[row] or "", add_special_tokens=False).ids
+                assert ids[a:b].tolist() == wanted
+                assert decoded[row - first] == library.decode(wanted, skip_special_tokens=False).encode()
+
+
+def test_any_ids_decode_as_in_the_library(library, rules):
+    rng = random.Random(2)
+    runs = [[rng.randrange(50_300) for _ in range(rng.randint(0, 30))] for _ in range(300)]
+    bounds = np.cumsum([0, *map(len, runs)])
+    found = rules.decode(np.array([i for r in runs for i in r], np.int64), bounds)
+    assert [x.decode() for x in found] == [library.decode(r, skip_special_tokens=False) for r in runs]
+
+
+def test_lexicon_holds_exactly_its_words():
+    rng = random.Random(4)
+    words = sorted({bytes(rng.choice(b"abc\xff\x00") for _ in range(rng.randint(1, 9))) for _ in range(4000)})
+    inside, outside = words[::2], words[1::2]
+    arrays = lexicon.build(inside, [[i, i + 1] for i in range(len(inside))])
+    found = lexicon.Lexicon(lexicon.packed(arrays))
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    place = found.find(data, np.append(0, ends[:-1]), ends, 8)
+    wanted = {w: i for i, w in enumerate(inside)}
+    assert place.tolist() == [wanted.get(w, -1) if len(w) <= 8 else -1 for w in words]
+    assert found.ids[found.offsets[3] : found.offsets[4]].tolist() == [3, 4]
+    letters = sum(map(len, inside))
+    assert len(arrays["base"]) < letters / 3  # endings are shared
+    assert set(outside).isdisjoint(inside)
+
+
+def test_lexicon_of_nothing_and_of_wrong_words():
+    nothing = lexicon.Lexicon(lexicon.packed(lexicon.build([], [])))
+    data = np.frombuffer(b"ab", np.uint8)
+    assert nothing.find(data, np.array([0, 1]), np.array([1, 2]), 64).tolist() == [-1, -1]
+    with pytest.raises(ValueError):
+        lexicon.build([b"b", b"a"], [[1], [2]])
+    with pytest.raises(ValueError):
+        lexicon.Lexicon(b"something else altogether")
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        bpe.Tokenizer(common.tokenizer_path("word_bpe_49k.json"))
+
+
+def digest(ids):
+    return hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_odd_documents(spark, documents, odd_rows, library):
+    docs = documents(odd_rows)
+    for handle in (bpe.compile_lexicon(docs), bpe.compile_lexicon(docs, most=3), None):
+        found = Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["text"]) for r in bpe.decode(bpe.encode(docs, handle)).collect())
+        wanted = Counter()
+        for i, text, _, _ in odd_rows:
+            ids = library.encode(text or "", add_special_tokens=False).ids
+            wanted[i, len(ids), digest(ids), text or ""] += 1
+        assert found == wanted
+
+
+def test_frequent_words_come_first(spark, documents):
+    docs = documents([(i, "often " * 9 + f"seldom{i} " * (i % 2), "en", "a") for i in range(40)])
+    counts = {bytes(r["word"]): r["n"] for r in bpe.word_counts(docs, common.tokenizer_path()).collect()}
+    assert counts[b" often"] == 8 * 40 and counts[b"often"] == 40
+    assert bpe.compile_lexicon(docs, most=2).n_words == 1  # the next level holds more words than fit
+    assert bpe.compile_lexicon(docs).n_words == len(counts)
+
+
+def test_bytes_that_are_no_text_and_an_empty_table(spark, documents):
+    docs = documents([(1, "a", "en", "a")])
+    broken = docs.selectExpr("doc_id", "cast(X'61FF62' AS string) AS text")
+    assert bpe.decode(bpe.encode(broken)).first()["text"] == "a�b"
+    empty = docs.limit(0)
+    assert bpe.decode(bpe.encode(empty, bpe.compile_lexicon(empty))).count() == 0
+
+
+def test_query_over_the_table(spark, library):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in common.table(spark, sf_dir, "documents").collect()}
+    rows = bpe.op11_bpe(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), digest(ids), hashlib.sha256(decoded.encode()).hexdigest())
