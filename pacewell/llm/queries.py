@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from pacewell.llm import bpe, language, lines, merkle, mixing, neardup, packing, quality, recount, tokenfiles, topk
+from pacewell.llm import bpe, language, lines, merkle, mixing, neardup, packing, quality, recount, tokenfiles, topk, vectorcodes
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_fingerprints": merkle.op9_fingerprints,
     "op10_mixing": mixing.op10_mixing,
     "op11_bpe": bpe.op11_bpe,
+    "op13_vector_codes": vectorcodes.op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
