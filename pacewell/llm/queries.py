@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from pacewell.llm import bpe, language, lines, merkle, mixing, neardup, packing, quality, recount, tokenfiles, topk, vectorcodes
+from pacewell.llm import bpe, language, lines, merkle, mixing, neardup, negatives, packing, quality, recount, tokenfiles, topk, vectorcodes
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -14,10 +14,12 @@ QUERIES = {
     "op9_fingerprints": merkle.op9_fingerprints,
     "op10_mixing": mixing.op10_mixing,
     "op11_bpe": bpe.op11_bpe,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
     "op13_vector_codes": vectorcodes.op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
     "op6_top_k": topk.OP6_SQL,
     "op9_fingerprints": merkle.OP9_SQL,
+    "op12_hard_negatives": negatives.OP12_SQL,
 }

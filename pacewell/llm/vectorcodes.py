@@ -37,7 +37,10 @@ FULL = np.iinfo(np.int64).max
 
 
 def whole_vectors(vectors: DataFrame, scale: float = SCALE, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
-    """(vec_id, label, v): components as floor(scale * x); null vectors and those with a null or non-finite component are left out."""
+    """(vec_id, label, v): components as floor(scale * x); null vectors and those with a null or non-finite component are left out.
+
+    Numbers beyond 64 bits end at the largest or smallest of them.
+    """
     x = F.col(vector).cast("array<double>")
     good = x.isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     whole = F.transform(x, lambda c: F.floor(c * F.lit(scale)).cast("long"))

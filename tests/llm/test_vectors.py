@@ -1,0 +1,211 @@
+"""Hard negatives and vector codes against plain Python over all rows."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from comparison import connect, mismatch
+from pyspark.sql import types as T
+
+from pacewell.llm import common, negatives, vectorcodes
+from pacewell.llm.queries import ORACLES
+
+SF_DIR = "/root/testdata/sf0.01"
+VECTORS = T.StructType([
+    T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.LongType()),
+])
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    common.importable(spark)
+
+    def make(rows):
+        clash = ("v", "dim", "block", "part", "slot", "rank", "score", "state", "code", "error", "early", "first")
+        return spark.createDataFrame(rows, VECTORS).selectExpr("*", *[f"'{c}' AS {c}" for c in clash])
+
+    return make
+
+
+@pytest.fixture(scope="module")
+def made_up():
+    """Groups of near vectors, exact copies, ties, a hot label, nulls, gaps and other lengths."""
+    rng = random.Random(8)
+    centres = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(5)]
+    rows = []
+    for i in range(700):
+        near = centres[i % 5] if i % 3 else [rng.gauss(0, 1) for _ in range(16)]
+        label = 1 if i % 3 == 0 else rng.randrange(12)
+        rows.append((i * 5, [x + rng.gauss(0, 0.05) for x in near], label))
+    rows += [(9000 + i, rows[20][1], 2 + i % 2) for i in range(40)]  # copies: ties in score
+    rows += [(9500, None, 1), (9501, [float("nan")] * 16, 1), (9502, [None] * 16, 1), (9503, [1.0] * 16, None), (None, [1.0] * 16, 1)]
+    rows += [(9600, [1.0] * 8, 1), (9700, [0.5] * 8, 1), (9800, [0.25] * 8, 2), (9801, [], 1), (9802, [float("inf")] * 16, 3)]
+    rows += [rows[100], rows[100], (rows[100][0], rows[101][1], 5)]  # repeated rows and ids
+    return rows
+
+
+def whole(rows, scale, with_label):
+    def good(r):
+        v = r[1]
+        return v is not None and all(x is not None and np.isfinite(x) for x in v) and (not with_label or (r[0] is not None and r[2] is not None))
+
+    return [(i, [int(np.floor(scale * float(np.float32(x)))) for x in v], g) for i, v, g in rows if good((i, v, g))]
+
+
+def plain_negatives(rows, anchors):
+    out = []
+    for a in sorted({a[0] for a in anchors}):
+        _, v, label = min((x for x in anchors if x[0] == a), key=lambda x: (x[2], x[1]))
+        scored = [(sum(p * q for p, q in zip(v, w)), i, g) for i, w, g in rows if i != a and len(w) == len(v)]
+        positives = sorted((s for s in scored if s[2] == label), key=lambda s: (-s[0], s[1]))[:5]
+        for best, p, _ in positives:
+            inside = sorted((s for s in scored if s[2] != label and 30 * best <= 100 * s[0] <= 90 * best), key=lambda s: (-s[0], s[1]))
+            out += [(a, p, rank, i, best, s) for rank, (s, i, _) in enumerate(inside[:10], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("sizes", [None, (32, 16, 8), (64, 40, 64)])
+def test_negatives_equal_all_pairs(spark, vectors, made_up, monkeypatch, sizes):
+    if sizes:  # many blocks, parts, trees and tiles
+        monkeypatch.setattr(negatives, "LEAST_ROWS", sizes[0])
+        monkeypatch.setattr(negatives, "MOST_ROWS", sizes[0])
+        monkeypatch.setattr(negatives, "TREE", sizes[1])
+        monkeypatch.setattr(negatives, "TILE", sizes[2])
+    rows = whole(made_up, 256.0, True)
+    frame = negatives.labelled_vectors(vectors(made_up))
+    assert sorted((r["vec_id"], list(r["v"]), r["label"]) for r in frame.collect()) == sorted(rows)
+    found = sorted(tuple(r) for r in negatives.mine(frame, frame.where("vec_id % 100 = 0")).collect())
+    assert found == plain_negatives(rows, [r for r in rows if r[0] % 100 == 0])
+
+
+def test_negatives_of_nothing(vectors, made_up):
+    frame = negatives.labelled_vectors(vectors(made_up))
+    assert negatives.mine(frame.limit(0), frame.limit(0)).count() == 0
+    assert negatives.mine(frame, frame.limit(0)).count() == 0
+    alone = frame.where("vec_id = 100").limit(1)
+    assert negatives.mine(alone, alone).count() == 0
+
+
+def test_bounds_spare_scores_near_copies_share():
+    rng = np.random.default_rng(3)
+    anchors = (rng.normal(size=(1, 64)) * 256 + rng.normal(size=(200, 64))).round().astype(np.int64)
+    rows = (rng.normal(size=(4000, 64)) * 256).round().astype(np.int64)
+    scores = anchors @ rows.T
+    low = np.sort(scores, axis=1)[:, [-30]]
+    search = negatives._Search(anchors, low, np.full((200, 1), negatives.WIDEST), 10)
+    for at in range(0, 4000, 500):
+        search.see(np.arange(at, at + 500), rows[at : at + 500], np.ones((200, 500), bool))
+    assert search.spared > 0.9 * 200 * 4000
+    node, _, ids, found = search.best
+    for n in range(200):
+        wanted = sorted(range(4000), key=lambda i: (-scores[n, i], i))[:10]
+        assert ids[node == n].tolist() == wanted and found[node == n].tolist() == scores[n, wanted].tolist()
+
+
+def test_spanning_tree_is_minimal():
+    x = np.random.default_rng(1).integers(-50, 50, (40, 3))
+    parent, edge, depth = negatives.spanning_tree(x)
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2).astype(float))
+    joined, total = {0}, 0.0
+    while len(joined) < 40:
+        d, b = min((far[a, b], b) for a in joined for b in range(40) if b not in joined)
+        joined.add(b)
+        total += d
+    assert parent[0] == -1 and edge.sum() == pytest.approx(total)
+    assert all(depth[i] == depth[parent[i]] + 1 and edge[i] == pytest.approx(far[i, parent[i]]) for i in range(1, 40))
+
+
+def test_negatives_query_equals_sql(spark):
+    from pacewell.llm.queries import QUERIES
+
+    with connect(SF_DIR) as con:
+        assert mismatch(QUERIES["op12_hard_negatives"](spark, SF_DIR), con, ORACLES["op12_hard_negatives"]) is None
+
+
+def plain_codes(rows, rounds=6):
+    """(vec_id, code, error, label_error, hash) of each row; every distance is computed in every round."""
+    out, labels = [], {}
+    for dim in sorted({len(r[1]) for r in rows} - {0}):
+        own = sorted((r for r in rows if len(r[1]) == dim), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        x = np.array([r[1] for r in own], object).reshape(len(own), 8, dim // 8)
+        books = [x[:16, p].copy() for p in range(8)]
+
+        def nearest(p):
+            far = ((x[:, p][:, None] - books[p][None]) ** 2).sum(axis=2)
+            best = np.array([min(range(far.shape[1]), key=lambda e: (d[e], e)) for d in far])
+            return best, far[np.arange(len(x)), best]
+
+        for _ in range(rounds):
+            for p in range(8):
+                best, _ = nearest(p)
+                for e in set(best.tolist()):
+                    mine = x[best == e, p]
+                    books[p][e] = [s // len(mine) for s in mine.sum(axis=0)]
+        found = [nearest(p) for p in range(8)]
+        name = hashlib.sha256(",".join(str(v) for b in books for e in b for v in e).encode()).hexdigest()
+        for i, r in enumerate(own):
+            error = int(sum(f[1][i] for f in found))
+            labels[r[2]] = labels.get(r[2], 0) + error
+            out.append([r[0], "".join(f"{f[0][i]:02x}" for f in found), min(error, vectorcodes.FULL), r[2], name])
+    return sorted(((i, c, e, min(labels[g], vectorcodes.FULL), n) for i, c, e, g, n in out), key=str)
+
+
+def coded(frame):
+    rows = vectorcodes.with_label_errors(vectorcodes.codes(*vectorcodes.learn(vectorcodes.whole_vectors(frame)))).collect()
+    return sorted(((r["vec_id"], r["code"], r["error"], r["label_error"], r["codebooks_sha256"]) for r in rows), key=str)
+
+
+def test_codes_equal_plain_rounds(vectors, made_up):
+    assert coded(vectors(made_up)) == plain_codes(whole(made_up, 4096.0, False))
+
+
+def test_codes_of_few_huge_equal_and_no_vectors(vectors):
+    few = [(i, [float(i * j % 7) for j in range(8)], i % 2) for i in range(9)]
+    assert coded(vectors(few)) == plain_codes(whole(few, 4096.0, False))
+    huge = [(i, [float((-1) ** i * 10.0 ** (i % 15)) for _ in range(16)], None) for i in range(60)]
+    assert coded(vectors(huge)) == plain_codes(whole(huge, 4096.0, False))
+    equal = [(i, [0.5] * 16, 1) for i in range(50)]
+    found = coded(vectors(equal))
+    assert found == plain_codes(whole(equal, 4096.0, False)) and {r[1] for r in found} == {"00" * 8}
+    assert coded(vectors([(1, [1.0] * 9, 1), (2, None, 1)])) == []
+    assert coded(vectors(few).limit(0)) == []
+
+
+def test_bounds_are_bounds_and_lists_shrink(spark):
+    """After each round no entry is nearer than its bound says, and the list's order holds."""
+    rng = np.random.default_rng(7)
+    x = (rng.normal(size=(3000, 8, 2)) * 500).round().astype(np.int64)
+    x[:1000] += 4000 * rng.integers(0, 3, (1000, 1, 1))
+    near = (vectorcodes.MOST_NEAR,) * 8
+    book = vectorcodes.Codebooks(x[:16].swapaxes(0, 1).copy(), np.zeros((8, 16)), near, near)
+    state = book.start(x)
+    for turn in range(8):
+        sums, counts, asked = {}, {}, {}
+        for p in range(8):
+            own = state[f"p{p}"]
+            far = np.sqrt(((x[:, p][:, None] - book.entries[p][None]) ** 2).sum(axis=2).astype(float))
+            assert (own["entry"] == far.argmin(axis=1)).all()
+            assert (own["upper"] >= far[np.arange(len(x)), own["entry"]]).all()
+            assert (own["low"] <= np.take_along_axis(far, own["near"].astype(int), axis=1)).all()
+            assert (np.diff(np.concatenate([own["low"], own["outer"][:, None]], axis=1), axis=1) >= 0).all()
+            rest = far.copy()
+            np.put_along_axis(rest, own["near"].astype(int), np.inf, axis=1)
+            rest[np.arange(len(x)), own["entry"]] = np.inf
+            assert (own["outer"] <= rest.min(axis=1)).all()
+            for e in np.unique(own["entry"]).tolist():
+                counts[p, e] = int((own["entry"] == e).sum())
+                for i in range(2):
+                    sums[p, e, i] = int(x[own["entry"] == e, p, i].sum())
+            for d, n in enumerate(np.bincount(own["asked"])):
+                asked[p, d] = int(n)
+        book = book.next(sums, counts, asked)
+        state = book.follow(x, state)
+    assert min(book.near) < vectorcodes.MOST_NEAR
+    assert (state["p0"]["asked"] == 0).mean() > 0.5
+
+
+def test_codes_query_over_the_table(spark):
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in common.table(spark, SF_DIR, "embeddings").collect()]
+    found = sorted((tuple(r) for r in vectorcodes.op13_vector_codes(spark, SF_DIR).collect()), key=str)
+    assert found == plain_codes(whole(rows, 4096.0, False))
