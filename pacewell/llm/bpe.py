@@ -29,9 +29,10 @@ from pacewell.session import scratch_path
 
 LEXICON_WORDS = 1 << 17
 LONGEST_WORD = 64
-COUNT_BYTES = 1 << 22
+COUNT_WORDS = 1 << 17
+DECODE_IDS = 1 << 18
 LEVELS = 16
-MEMO_WORDS = 1 << 17
+MEMO_WORDS = 1 << 16
 MEMO_BYTES = 256
 
 
@@ -178,21 +179,28 @@ def _text(docs: DataFrame) -> Column:
 def word_counts(docs: DataFrame, path: str) -> DataFrame:
     """(word binary, n): how often each pre-token of at most LONGEST_WORD bytes stands in all texts.
 
-    Added tokens are no words. Tasks count by chunk before anything is shuffled. Null and empty texts and empty tables give none.
+    Added tokens are no words. Tasks add up before anything is shuffled, COUNT_WORDS words at a time. Null and empty texts and empty tables give none.
     """
     added = tokenizer(path).added
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+        counts: dict[bytes, int] = {}
         for batch in batches:
-            for _, _, data, offsets in textbytes.chunks(batch.column("text"), COUNT_BYTES):
+            for _, _, data, offsets in textbytes.chunks(batch.column("text")):
                 starts, which = pretokens.split(data, offsets, added)
                 ends = np.append(starts[1:], len(data))[: len(starts)]
                 own = (which < 0) & (ends - starts <= LONGEST_WORD)
                 starts, ends = starts[own], ends[own]
                 _, at, n = np.unique(textbytes.hash_spans(data, starts, ends), return_index=True, return_counts=True)
                 raw = data.tobytes()
-                yield common.record_batch(schema, [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], n)
+                for a, b, m in zip(starts[at].tolist(), ends[at].tolist(), n.tolist()):
+                    counts[raw[a:b]] = counts.get(raw[a:b], 0) + m
+                if len(counts) >= COUNT_WORDS:
+                    yield common.record_batch(schema, list(counts), list(counts.values()))
+                    counts = {}
+        if counts:
+            yield common.record_batch(schema, list(counts), list(counts.values()))
 
     counted = docs.select(_text(docs).alias("text")).mapInArrow(count, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -289,11 +297,16 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             lists = batch.column("ids")
             bounds = np.zeros(len(lists) + 1, np.int64)
             np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), out=bounds[1:])
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            raw = ids.astype("<u4").tobytes()
-            hashes = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-            texts = pa.array(tokenizer(path).decode(ids, bounds), pa.binary()).cast(pa.string())
-            yield common.record_batch(schema, batch.column("doc_id"), np.diff(bounds), hashes, texts)
+            every, first = lists.flatten(), 0
+            while first < len(lists):
+                end = max(first + 1, int(np.searchsorted(bounds, bounds[first] + DECODE_IDS, side="right")) - 1)
+                own = bounds[first : end + 1] - bounds[first]
+                ids = every.slice(bounds[first], own[-1]).to_numpy(zero_copy_only=False)
+                raw = ids.astype("<u4").tobytes()
+                hashes = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(own.tolist(), own[1:].tolist())]
+                texts = pa.array(tokenizer(path).decode(ids, own), pa.binary()).cast(pa.string())
+                yield common.record_batch(schema, batch.column("doc_id").slice(first, end - first), np.diff(own), hashes, texts)
+                first = end
 
     rows = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_compact(F.col("ids").cast("array<long>")).alias("ids"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, text string")

@@ -22,12 +22,9 @@ _APOSTROPHE, _SPACE = 0x27, 0x20
 @functools.cache
 def _classes() -> np.ndarray:
     """Class of each code point; those this Python's Unicode tables do not know yet are settled when one is met."""
-    table = np.full(0x110000, OTHER, np.uint8)
-    kinds = np.array([unicodedata.category(chr(c)) for c in range(0x110000)])
-    table[np.char.startswith(kinds, "L")] = LETTER
-    table[np.char.startswith(kinds, "N")] = DIGIT
-    table[kinds == "Cn"] = UNKNOWN
-    table[np.char.startswith(kinds, "Z")] = BLANK
+    kinds = {"L": LETTER, "N": DIGIT, "Z": BLANK}
+    every = (unicodedata.category(chr(c)) for c in range(0x110000))
+    table = np.fromiter((UNKNOWN if k == "Cn" else kinds.get(k[0], OTHER) for k in every), np.uint8, 0x110000)
     table[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x85]] = BLANK
     return table
 
