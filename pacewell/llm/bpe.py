@@ -32,8 +32,9 @@ LONGEST_WORD = 64
 COUNT_WORDS = 1 << 17
 DECODE_IDS = 1 << 18
 LEVELS = 16
-MEMO_WORDS = 1 << 16
-MEMO_BYTES = 256
+TOGETHER_BYTES = 32
+TOGETHER_WORDS = 4096
+NO_RANK = 1 << 40
 
 
 def _byte_characters() -> dict[str, int]:
@@ -71,6 +72,11 @@ class Tokenizer:
             self.single[b] = vocabulary[c]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.ranks = {(vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in enumerate(pairs)}
+        keys = np.array([(a << 32 | b, rank) for (a, b), (rank, _) in sorted(self.ranks.items())], np.int64).reshape(-1, 2)
+        self.pair_keys, self.pair_ranks = np.append(keys[:, 0], NO_RANK << 22), np.append(keys[:, 1], NO_RANK)
+        self.made = np.zeros(max((r for r, _ in self.ranks.values()), default=0) + 1, np.int64)
+        for rank, whole in self.ranks.values():
+            self.made[rank] = whole
         tokens = {i: t for t, i in vocabulary.items()} | {t["id"]: t["content"] for t in added}
         spelt = [b""] * (max(tokens) + 1)
         for i, token in tokens.items():
@@ -102,6 +108,52 @@ class Tokenizer:
                 heapq.heappush(waiting, (found[0], h, found[1]))
         return [i for i in ids if i is not None]
 
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << 32 | right
+        at = np.searchsorted(self.pair_keys, keys)
+        at = np.minimum(at, len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.pair_ranks[at], NO_RANK)
+
+    def _merge_together(self, words: list[bytes]) -> list[list[int]]:
+        """As ``merge`` for short words, each losing one pair in every turn."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        width = int(sizes.max()) + 1
+        ids = np.full((len(words), width), -1, np.int64)
+        ids[np.arange(width) < sizes[:, None]] = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        ranks = np.full((len(words), width), NO_RANK, np.int64)
+        ranks[:, :-1] = self._rank_of(ids[:, :-1], ids[:, 1:])
+        done, open_, columns = np.full((len(words), width), -1, np.int64), np.arange(len(words)), np.arange(width)
+        while len(open_):
+            at = ranks.argmin(axis=1)  # the leftmost of equals
+            best = ranks[np.arange(len(at)), at]
+            over = best == NO_RANK
+            if over.any():
+                done[open_[over]] = ids[over]
+                ids, ranks, open_, at, best = (x[~over] for x in (ids, ranks, open_, at, best))
+            every = np.arange(len(open_))
+            behind = np.minimum(columns + (columns > at[:, None]), width - 1)
+            ids, ranks = np.take_along_axis(ids, behind, axis=1), np.take_along_axis(ranks, behind, axis=1)
+            ids[every, at] = self.made[best]
+            ranks[every, at] = self._rank_of(ids[every, at], ids[every, np.minimum(at + 1, width - 1)])
+            before = np.flatnonzero(at > 0)
+            ranks[before, at[before] - 1] = self._rank_of(ids[before, at[before] - 1], ids[before, at[before]])
+        kept = done >= 0
+        flat, ends = done[kept].tolist(), np.cumsum(kept.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of each of many pre-tokens."""
+        out: list[list[int]] = [[]] * len(words)
+        order = sorted((i for i, w in enumerate(words) if 0 < len(w) <= TOGETHER_BYTES), key=lambda i: len(words[i]))
+        for first in range(0, len(order), TOGETHER_WORDS):
+            some = order[first : first + TOGETHER_WORDS]
+            for i, ids in zip(some, self._merge_together([words[i] for i in some])):
+                out[i] = ids
+        for i, word in enumerate(words):
+            if len(word) > TOGETHER_BYTES:
+                out[i] = self.merge(word)
+        return out
+
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """UTF-8 of each run of ids; ids outside the vocabulary say nothing, and what is no character becomes U+FFFD."""
         known = (ids >= 0) & (ids < len(self.spelt_at) - 1)
@@ -124,17 +176,6 @@ class Encoder:
 
     def __init__(self, rules: Tokenizer, words: lexicon.Lexicon | None):
         self.rules, self.words = rules, words
-        self.merged: dict[bytes, list[int]] = {}
-
-    def _merged(self, word: bytes) -> list[int]:
-        ids = self.merged.get(word)
-        if ids is None:
-            ids = self.rules.merge(word)
-            if len(word) <= MEMO_BYTES:
-                if len(self.merged) >= MEMO_WORDS:
-                    self.merged.clear()
-                self.merged[word] = ids
-        return ids
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids, bounds of the rows' ids) for runs of rows; null texts are empty."""
@@ -153,7 +194,7 @@ class Encoder:
             rest = np.flatnonzero(~known & ~special)
             distinct: dict[bytes, int] = {}
             which = [distinct.setdefault(raw[a:b], len(distinct)) for a, b in zip(starts[rest].tolist(), ends[rest].tolist())]
-            lists = [self._merged(w) for w in distinct]
+            lists = self.rules.merge_all(list(distinct))
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
             source[rest] = (len(flat) + len(more) + np.cumsum(sizes) - sizes)[which]
             size[rest] = sizes[which]
@@ -239,7 +280,7 @@ def compile_lexicon(docs: DataFrame, path: str | None = None, most: int = LEXICO
         schema = pa.schema([("word", pa.binary()), ("ids", pa.list_(pa.int32()))])
         for batch in batches:
             words = batch.column("word").to_pylist()
-            yield common.record_batch(schema, words, [rules.merge(w) for w in words])
+            yield common.record_batch(schema, words, rules.merge_all(words))
 
     frequent = counts.where(F.col("level") >= (lowest if lowest is not None else 1 << 20)).select("word")
     found = sorted((bytes(r["word"]), r["ids"]) for r in frequent.mapInArrow(merge, "word binary, ids array<int>").collect())

@@ -74,6 +74,13 @@ def test_ids_are_the_library_s(library, rules, texts, share):
                 assert decoded[row - first] == library.decode(wanted, skip_special_tokens=False).encode()
 
 
+def test_words_merged_together_are_words_merged_alone(rules):
+    rng = random.Random(6)
+    words = [bytes(rng.choice(b"aaabcdelnorstt \xc3\xa9'") for _ in range(rng.randint(0, 40))) for _ in range(6000)]
+    assert rules.merge_all(words) == [rules.merge(w) for w in words]
+    assert rules.merge_all([]) == []
+
+
 def test_any_ids_decode_as_in_the_library(library, rules):
     rng = random.Random(2)
     runs = [[rng.randrange(50_300) for _ in range(rng.randint(0, 30))] for _ in range(300)]
