@@ -98,6 +98,24 @@ def split_valid(df: DataFrame, profile: str = "ingest") -> tuple[DataFrame, Data
     return df.filter(~bad).drop(PARSE_FAILED, CORRUPT), with_violations(df.filter(bad), profile)
 
 
+def split_batches(df: DataFrame, by, profile: str = "ingest") -> tuple[DataFrame, DataFrame]:
+    """Rows of the batches that are valid as a whole, and the refused batches.
+
+    A batch is all rows equal in ``by`` (a file, say). One bad row refuses it:
+    none of its rows are among the good ones, and it is listed with its number
+    of rows, of bad rows and the first violation by name. The verdicts are a
+    row per batch; rows are read twice, and only joined with what is refused.
+    """
+    bad = is_bad(df, profile)
+    judged = with_violations(df, profile).withColumn("_bad", bad)
+    verdicts = judged.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("_bad").alias("n_bad"),
+        F.min(F.when(F.col("_bad"), F.get("violations", 0))).alias("first_violation"))
+    refused = verdicts.filter("n_bad > 0")
+    good = df.join(refused.select(*by), list(by), "left_anti")
+    return good.drop(PARSE_FAILED, CORRUPT), refused
+
+
 def require_valid(df: DataFrame, profile: str = "ingest") -> DataFrame:
     """Rejects the whole batch if any row is bad.
 

@@ -162,6 +162,14 @@ FIRST_DAMAGED = _first_violations(
     "WHEN recovery_score IN (3, 9) THEN 'damaged_line' WHEN recovery_score = 6 THEN 'training_load_unparsed'",
     "CASE WHEN recovery_score NOT IN (3, 9) THEN athlete_id END")
 
+# A quarter of the uploads each has all columns, has them turned round, lacks the sensors, or lacks the load and is damaged.
+_UPLOAD = "CAST(recovery_score / 1.5 AS BIGINT) % 4"
+READ_BACK = _with(
+    "perf_raw", f"SELECT CASE WHEN {_UPLOAD} = 3 THEN 'unknown' ELSE athlete_id END AS athlete_id, count(*) AS n_rows, "
+                f"count(*) FILTER (WHERE {_UPLOAD} = 3) AS n_damaged, count(hrv) FILTER (WHERE {_UPLOAD} < 2) AS n_hrv, "
+                f"round(sum(training_load) FILTER (WHERE {_UPLOAD} < 3), 4) AS training_load, "
+                f"max(record_date) FILTER (WHERE {_UPLOAD} < 3) AS last_date FROM perf_raw GROUP BY 1")
+
 DEFAULTS = {"sleep_hours": 7, "sleep_quality": 7, "training_load": 200, "stress_level": 5,
             "recovery_score": 7}
 _DEFAULTED = ", ".join(f"coalesce({c}, CAST({d} AS DOUBLE)) AS {c}" for c, d in DEFAULTS.items())
@@ -311,6 +319,15 @@ def _closed(sql):
 
 ORACLES = {
     "s01_csv_scan": _with("perf_raw", f"SELECT {RECORD} FROM perf_raw"),
+    "s01_csv_headers": READ_BACK,
+    "t01_csv_headers_stream": READ_BACK,
+    "t01_whole_files_stream": _with(
+        "cleaned", "SELECT name, n_rows, n_bad, first_violation FROM (SELECT athlete_id AS name, count(*) AS n_rows, "
+                   "CAST(0 AS BIGINT) AS n_bad, 'none' AS first_violation FROM cleaned WHERE "
+                   "CAST(split_part(record_key, '-', 1) AS BIGINT) % 13 NOT IN (3, 7) GROUP BY 1) UNION ALL "
+                   "SELECT concat('upload=', CAST(split_part(record_key, '-', 1) AS BIGINT) % 13), count(*), "
+                   "count(*) FILTER (WHERE split_part(record_key, '-', 4) = '2'), 'sleep_quality_range' FROM cleaned "
+                   "WHERE CAST(split_part(record_key, '-', 1) AS BIGINT) % 13 IN (3, 7) GROUP BY 1"),
     "s02_csv_guards": _with("perf_raw", "SELECT athlete_id, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_damaged "
                                         "FROM perf_raw GROUP BY 1"),
     "s03_json_scan": _with("perf_raw", f"SELECT {RECORD} FROM perf_raw"),
@@ -351,6 +368,11 @@ ORACLES = {
     "v05_rules_api": _rules(API, "perf_raw"),
     "v06_rules_predict": _rules(PREDICT, "requests"),
     "v07_batch_policy": VERDICT,
+    "v07_whole_batches": _with(
+        "perf_raw", "SELECT athlete_id, coalesce(first_violation, 'none') AS first_violation, count(*) AS n_batches, "
+                    "CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_bad) AS BIGINT) AS n_bad FROM ("
+                    f"SELECT athlete_id, count(*) AS n_rows, count(*) FILTER (WHERE {ANY_BAD}) AS n_bad, "
+                    f"min(CASE {_FIRST} END) AS first_violation FROM perf_raw GROUP BY athlete_id, record_date) GROUP BY 1, 2"),
     "c01_drop_incomplete": _with("perf_raw", f"SELECT record_key, {CRITICAL} FROM perf_raw WHERE {CRITICAL_PRESENT}"),
     "c02_clip_critical": _with(
         "perf_raw", f"SELECT record_key, {SLEEP} AS sleep_hours, {QUALITY} AS sleep_quality, "

@@ -79,6 +79,31 @@ def s01_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path).select(*RECORD_COLUMNS)
 
 
+def _uploads(spark, sf_dir, path):
+    """Records as uploads with four headers below one folder: all columns, turned round, without sensors, and one that cannot be read."""
+    text = _perf(spark, sf_dir).withColumns({c: F.col(c).cast("string") for c in RECORD_COLUMNS})
+    headers = [RECORD_COLUMNS, RECORD_COLUMNS[::-1], ["note", *[c for c in RECORD_COLUMNS if c not in SENSORS]],
+               [c for c in RECORD_COLUMNS if c != "training_load"]]
+    for i, header in enumerate(headers):
+        own = text.filter(F.col("recovery_score") / 1.5 % len(headers) == i).withColumn("note", F.lit("n"))
+        own.select(*header).write.option("header", True).csv(f"{path}/upload_{i}")
+
+
+def _read_back(records):
+    """Rows and sums by athlete of records that were read, and how many lines were damaged."""
+    return records.groupBy(F.coalesce("athlete_id", F.lit("unknown")).alias("athlete_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(intake.CORRUPT).alias("n_damaged"), F.count("hrv").alias("n_hrv"),
+        F.round(F.sum("training_load"), 4).alias("training_load"), F.max("record_date").alias("last_date"))
+
+
+@query
+def s01_csv_headers(spark, sf_dir):
+    """Uploads with different headers in one lenient read."""
+    path = scratch_path(spark, "s01-headers")
+    _uploads(spark, sf_dir, path)
+    return _read_back(files.read_csv(spark, path, strict=False, recursive=True))
+
+
 @query
 def s02_csv_guards(spark, sf_dir):
     path = scratch_path(spark, "s02")
@@ -239,6 +264,17 @@ def v07_batch_policy(spark, sf_dir):
 
 # Cleaning
 
+@query
+def v07_whole_batches(spark, sf_dir):
+    """An athlete's day as a batch: rows of days without a bad record, and what the refused days held, by first violation."""
+    typed = intake.coerce(_perf(spark, sf_dir), strict=False)
+    good, refused = intake.split_batches(typed, ["athlete_id", "record_date"])
+    kept = good.groupBy("athlete_id", "record_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("long").alias("n_bad"), F.lit("none").alias("first_violation"))
+    return kept.unionByName(refused).groupBy("athlete_id", "first_violation").agg(
+        F.count(F.lit(1)).alias("n_batches"), F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"))
+
+
 @query
 def c01_drop_incomplete(spark, sf_dir):
     return _keyed(clean.drop_incomplete(_perf(spark, sf_dir)), *CRITICAL)
@@ -769,6 +805,37 @@ def t01_intake_stream(spark, sf_dir):
     return _taken_in(spark, streams.csv_stream(spark, f"{path}/in"), path)
 
 
+@query
+def t01_csv_headers_stream(spark, sf_dir):
+    """Uploads with different headers as a stream, good and bad rows together again."""
+    path = scratch_path(spark, "t01-headers")
+    _uploads(spark, sf_dir, f"{path}/in")
+    stream = streams.csv_stream(spark, f"{path}/in", recursive=True)
+    _finish(streams.intake_stream(stream, f"{path}/good", f"{path}/bad", f"{path}/checkpoint"))
+    bad = spark.read.parquet(f"{path}/bad").select(*RECORD_COLUMNS, intake.CORRUPT)
+    return _read_back(spark.read.parquet(f"{path}/good").select(*RECORD_COLUMNS).unionByName(bad, allowMissingColumns=True))
+
+
+@query
+def t01_whole_files_stream(spark, sf_dir):
+    """One file per upload, two of them with bad records: rows taken in by athlete, and what the refused files held."""
+    path = scratch_path(spark, "t01-files")
+    order = F.element_at(F.split("record_key", "-"), 1).cast("long")
+    records = clean.clean(_perf(spark, sf_dir)).withColumn("upload", order % 13)
+    bad = F.col("upload").isin(3, 7) & (F.element_at(F.split("record_key", "-"), 4) == "2")
+    records = records.withColumn("sleep_quality", F.when(bad, F.lit(0.5)).otherwise(F.col("sleep_quality")))
+    laid = records.select(*RECORD_COLUMNS, "upload").repartition(13, "upload")
+    laid.write.partitionBy("upload").option("header", True).csv(f"{path}/in")
+    stream = streams.csv_stream(spark, f"{path}/in", max_files=4, recursive=True)
+    _finish(streams.intake_stream(stream, f"{path}/good", f"{path}/bad", f"{path}/checkpoint", whole_files=True))
+    taken = spark.read.parquet(f"{path}/good").groupBy(F.col("athlete_id").alias("name")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("long").alias("n_bad"), F.lit("none").alias("first_violation"))
+    refused = spark.read.parquet(f"{path}/bad").groupBy(
+        F.regexp_extract(files.SOURCE_FILE, "upload=([0-9]+)", 0).alias("name"), "first_violation").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"))
+    return taken.unionByName(refused)
+
+
 @query
 def t01_json_stream(spark, sf_dir):
     path = scratch_path(spark, "t01-json")

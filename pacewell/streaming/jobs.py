@@ -12,13 +12,13 @@ from pyspark.storagelevel import StorageLevel
 from pacewell.errors import ValidationError
 from pacewell.functions.histogram import bucket_columns, cumulative_counts, quantile
 from pacewell.operators.alerts import evaluate
-from pacewell.operators.intake import coerce, split_valid
+from pacewell.operators.intake import coerce, split_batches, split_valid
 from pacewell.operators.observability import fully_matches
 from pacewell.operators.timeline import closing_state
 from pacewell.plans import model as models
 from pacewell.plans.scoring import score_with
 from pacewell.settings import LATENCY_BOUNDS, MODEL_VERSION, AlertRule
-from pacewell.sources.files import csv_reader, flag_undecodable, json_reader, json_records
+from pacewell.sources.files import LINE, SOURCE_FILE, csv_lines, json_reader, json_records, numbered, records_of_lines
 from pacewell.sources.tables import log_rows, performance_rows, prediction_rows
 
 CAUGHT_UP = {"availableNow": True}
@@ -28,11 +28,12 @@ def _batch_path(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def csv_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    reader = csv_reader(spark.readStream)
+def csv_stream(spark: SparkSession, path: str, max_files: int | None = None, recursive: bool = False) -> DataFrame:
+    """Lines of arriving CSV files; ``intake_stream`` parses them by their own files' headers."""
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return flag_undecodable(reader.csv(path))
+    return csv_lines(reader, path, recursive)
 
 
 def json_stream(spark: SparkSession, path: str, max_files: int | None = None, multi_line: bool = False) -> DataFrame:
@@ -44,18 +45,28 @@ def json_stream(spark: SparkSession, path: str, max_files: int | None = None, mu
 
 
 def intake_stream(records: DataFrame, good_path: str, bad_path: str, checkpoint: str,
-                  profile: str = "ingest", trigger=None):
-    """Coerces and validates records; good and bad rows go to two tables."""
-    typed = coerce(records, strict=False)
+                  profile: str = "ingest", trigger=None, whole_files: bool = False):
+    """Coerces and validates records; good and bad rows go to two tables.
+
+    Lines of CSV files are parsed by the header of their own file, which always
+    is in the same micro-batch. With ``whole_files`` one bad record refuses its
+    whole file, and ``bad_path`` lists the refused files.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The two filters read the micro-batch twice; a cached copy of it
-        # would cost more than the second, cheap pass.
-        good, bad = split_valid(batch, profile)
-        for rows, path in ((performance_rows(good), good_path), (bad, bad_path)):
-            rows.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        lines = numbered(batch).persist(StorageLevel.MEMORY_AND_DISK) if LINE in batch.columns else None
+        try:
+            typed = coerce(batch if lines is None else records_of_lines(lines), strict=False)
+            # The two filters read the micro-batch twice; a cached copy of
+            # records would cost more than the second, cheap pass.
+            good, bad = split_batches(typed, [SOURCE_FILE], profile) if whole_files else split_valid(typed, profile)
+            for rows, path in ((performance_rows(good), good_path), (bad, bad_path)):
+                rows.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        finally:
+            if lines is not None:
+                lines.unpersist()
 
-    return (typed.writeStream.foreachBatch(write)
+    return (records.writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or CAUGHT_UP)).start())
 
 
