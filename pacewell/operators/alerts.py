@@ -21,21 +21,30 @@ def _filled(template: str, keys):
     return text
 
 
-def evaluate(values: DataFrame, rule: AlertRule, keys=(), ts: str = "ts", value: str = "value",
-             max_gap: int | None = None, slice_seconds: int | None = None,
-             carried: DataFrame | None = None) -> DataFrame:
-    """State of one rule at every sample of every series."""
-    named = values.withColumn("alert", F.lit(rule.name))
-    holds = _COMPARE[rule.compare](F.col(value), F.lit(rule.threshold))
-    held = hold_state(named, ["alert", *keys], ts, holds, rule.hold, max_gap, slice_seconds, carried)
+def condition(rule: AlertRule, value: str = "value"):
+    """What a rule asks of a value."""
+    return _COMPARE[rule.compare](F.col(value), F.lit(rule.threshold))
+
+
+def described(held: DataFrame, rule: AlertRule, keys=(), ts: str = "ts") -> DataFrame:
+    """States with the rule's name, severity and texts."""
     return held.select(
-        "alert", *keys, ts, F.col(value).alias("value"), "since", "state",
+        F.lit(rule.name).alias("alert"), *keys, ts, "value", "since", "state",
         F.lit(rule.severity).alias("severity"),
         _filled(rule.summary, keys).alias("summary"),
         _filled(rule.description, keys).alias("description"),
     )
 
 
+def evaluate(values: DataFrame, rule: AlertRule, keys=(), ts: str = "ts", value: str = "value",
+             max_gap: int | None = None, slice_seconds: int | None = None,
+             carried: DataFrame | None = None) -> DataFrame:
+    """State of one rule at every sample of every series."""
+    named = values.withColumn("alert", F.lit(rule.name))
+    held = hold_state(named, ["alert", *keys], ts, condition(rule, value), rule.hold, max_gap, slice_seconds, carried)
+    return described(held.withColumn("value", F.col(value)), rule, keys, ts)
+
+
 def service_down(samples: DataFrame, rule: AlertRule = SERVICE_DOWN,
                  slice_seconds: int | None = 3600) -> DataFrame:
     """Raw samples can be many per job, so the series are cut into slices."""

@@ -569,4 +569,6 @@ ORACLES = {
     "t04_alert_stream": _closed(_ERROR_ALERT),
     "t04_latency_alert_stream": _closed(_LATENCY_ALERT),
     "t04_service_down_stream": _DOWN_ALERT,
+    "t04_event_alert_stream": f"WITH states AS ({_DOWN_ALERT}) SELECT * FROM states "
+                              "WHERE ts < (SELECT max(ts) - INTERVAL 4 HOUR FROM states)",
 }

@@ -20,6 +20,7 @@ from pacewell.settings import SERVICES, SERVICES_UP_STEPS, SUCCESS_RATIO_STEPS
 from pacewell.sources import files, tables
 from pacewell.sources import testviews as views
 from pacewell.streaming import jobs as streams
+from pacewell.streaming.event_alerts import event_time_alerts, with_state_store
 
 QUERIES = {}
 
@@ -898,6 +899,24 @@ def t04_service_down_stream(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").drop("batch_id")
 
 
+@query
+def t04_event_alert_stream(spark, sf_dir):
+    """Samples that arrive up to three hours late, in six micro-batches; what the watermark has passed at the end."""
+    path = scratch_path(spark, "t04-event")
+    samples = views.up_samples(spark, sf_dir)
+    # Hours since the epoch; a sixth of the time that all samples span is a micro-batch.
+    hour = F.floor(F.unix_seconds("ts") / 3600) + F.pmod(F.xxhash64("job", "ts"), F.lit(4))
+    span = samples.agg(F.min(hour).alias("first"), F.max(hour).alias("last"), F.max("ts").alias("end")).first()
+    part = F.floor((hour - span["first"]) * 6 / (span["last"] - span["first"] + 1))
+    for i in range(6):
+        samples.filter(part == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    arriving = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    states = event_time_alerts(arriving, alerts.SERVICE_DOWN, ["job"], "4 hours", value="up")
+    _finish(with_state_store(spark, lambda: streams.append_stream(states, f"{path}/out", f"{path}/checkpoint")))
+    passed = F.lit(span["end"]) - F.expr("INTERVAL 4 HOURS")
+    return spark.read.schema(states.schema).parquet(f"{path}/out").filter(F.col("ts") < passed)
+
+
 def daily_performance(spark, sf_dir):
     """Flagship: clean, features, daily means of label and ratios."""
     means = analytics.daily_means(_engineered(spark, sf_dir), "sleep_recovery_ratio", "load_stress_ratio")
