@@ -317,6 +317,16 @@ def _closed(sql):
     return f"SELECT * FROM ({sql}) WHERE window_start + INTERVAL 5 MINUTE <= ({end})"
 
 
+_INCREASE = _with(
+    "counter_samples",
+    f"SELECT {_SERIES}, window_start, CAST(sum(d) AS BIGINT) AS increase, "
+    "CAST(sum(d) AS DOUBLE) / CAST(3600 AS DOUBLE) AS rate FROM deltas GROUP BY ALL",
+    ("lagged", f"SELECT *, lag(v) OVER (PARTITION BY {_SERIES} ORDER BY ts, event_id, v) AS v0 "
+               "FROM counter_samples"),
+    ("deltas", f"SELECT {_SERIES}, {_bucket(60)} AS window_start, "
+               "CASE WHEN v0 IS NULL THEN 0 WHEN v < v0 THEN v ELSE v - v0 END AS d FROM lagged"))
+
+
 ORACLES = {
     "s01_csv_scan": _with("perf_raw", f"SELECT {RECORD} FROM perf_raw"),
     "s01_csv_headers": READ_BACK,
@@ -533,14 +543,7 @@ ORACLES = {
                     "AS success_ratio FROM measured GROUP BY 1"),
     "o11_trainer_quantiles": _quantiles([], {"p50": 0.5, "p95": 0.95}, "job = 'ml-trainer'"),
     "o11_overall_p95": _quantiles([], {"p95": 0.95}),
-    "o12_counter_increase": _with(
-        "counter_samples",
-        f"SELECT {_SERIES}, window_start, CAST(sum(d) AS BIGINT) AS increase, "
-        "CAST(sum(d) AS DOUBLE) / CAST(3600 AS DOUBLE) AS rate FROM deltas GROUP BY ALL",
-        ("lagged", f"SELECT *, lag(v) OVER (PARTITION BY {_SERIES} ORDER BY ts, event_id, v) AS v0 "
-                   "FROM counter_samples"),
-        ("deltas", f"SELECT {_SERIES}, {_bucket(60)} AS window_start, "
-                   "CASE WHEN v0 IS NULL THEN 0 WHEN v < v0 THEN v ELSE v - v0 END AS d FROM lagged")),
+    "o12_counter_increase": _INCREASE,
     "o13_label_matchers": _with(
         "measured", "SELECT job, status, count(*) AS n_requests FROM measured "
                     "WHERE regexp_full_match(job, 'api|data-ingestion') AND regexp_full_match(status, '5..') GROUP BY ALL"),
@@ -563,6 +566,9 @@ ORACLES = {
                        "WHERE test_mae IS NOT NULL GROUP BY 1"),
     "t01_intake_stream": FIRST_CLEAN,
     "t02_rate_stream": _closed(_TITLED_RATES),
+    "t02_counter_increase_stream":
+        f"SELECT * FROM ({_INCREASE}) WHERE window_start + INTERVAL 1 HOUR <= "
+        f"(SELECT max(CAST(ts AS TIMESTAMP)) - INTERVAL 10 MINUTE FROM events)",
     "t03_scoring_stream": _with(
         "perf_raw", "SELECT athlete_id, record_date AS prediction_date, '1.0' AS model_version, count(*) AS n_rows, "
                     "count(*) AS n_possible FROM perf_raw GROUP BY ALL"),

@@ -19,6 +19,7 @@ from pacewell.session import scratch_path
 from pacewell.settings import SERVICES, SERVICES_UP_STEPS, SUCCESS_RATIO_STEPS
 from pacewell.sources import files, tables
 from pacewell.sources import testviews as views
+from pacewell.streaming import counters
 from pacewell.streaming import jobs as streams
 from pacewell.streaming.event_alerts import event_time_alerts, with_state_store
 
@@ -857,6 +858,26 @@ def t02_rate_stream(spark, sf_dir):
     return spark.read.schema(rates.schema).parquet(f"{path}/out")
 
 
+@query
+def t02_counter_increase_stream(spark, sf_dir):
+    """Samples that arrive up to five minutes late, in four micro-batches; hours that are over at the end."""
+    path = scratch_path(spark, "t02-counter")
+    samples = views.counter_samples(spark, sf_dir)
+    arrival = F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(300))
+    samples.withColumn("arrival", arrival).write.parquet(f"{path}/samples")
+    samples = spark.read.parquet(f"{path}/samples")
+    span = samples.agg(F.min("arrival").alias("first"), F.max("arrival").alias("last"), F.max("ts").alias("end")).first()
+    part = F.floor((F.col("arrival") - span["first"]) * 4 / (span["last"] - span["first"] + 1))
+    for i in range(4):
+        samples.filter(part == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    arriving = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    panes = counters.counter_panes(arriving, COUNTER_LABELS, "10 minutes", ties=["event_id"])
+    _finish(counters.counter_increase_stream(panes, COUNTER_LABELS, 3600, f"{path}/out", f"{path}/state", f"{path}/checkpoint"))
+    found = counters.read_counter_increase(spark, f"{path}/out", COUNTER_LABELS, 3600)
+    over = F.lit(span["end"]) - F.expr("INTERVAL 10 MINUTES")
+    return found.filter(F.col("window_start") + F.expr("INTERVAL 1 HOUR") <= over)
+
+
 @query
 def t03_scoring_stream(spark, sf_dir):
     path = scratch_path(spark, "t03")

@@ -24,7 +24,7 @@ from pacewell.sources.tables import log_rows, performance_rows, prediction_rows
 CAUGHT_UP = {"availableNow": True}
 
 
-def _batch_path(path: str, batch_id: int) -> str:
+def batch_path(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
@@ -61,7 +61,7 @@ def intake_stream(records: DataFrame, good_path: str, bad_path: str, checkpoint:
             # records would cost more than the second, cheap pass.
             good, bad = split_batches(typed, [SOURCE_FILE], profile) if whole_files else split_valid(typed, profile)
             for rows, path in ((performance_rows(good), good_path), (bad, bad_path)):
-                rows.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+                rows.write.mode("overwrite").parquet(batch_path(path, batch_id))
         finally:
             if lines is not None:
                 lines.unpersist()
@@ -143,20 +143,20 @@ def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        carried = _state_before(spark, state_path, batch_id)
+        carried = carried_state(spark, state_path, batch_id)
         if carried is not None:
             _require_order(batch.withColumn("alert", F.lit(rule.name)), carried, ["alert", *keys], ts)
         held = evaluate(batch, rule, keys, ts, value, max_gap, slice_seconds, carried)
         held = held.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            held.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+            held.write.mode("overwrite").parquet(batch_path(path, batch_id))
             state = closing_state(held, ["alert", *keys], ts)
             if carried is not None:
                 seen = state.select("alert", *keys)
                 quiet = carried.join(seen, ["alert", *keys], "left_anti")
                 state = state.unionByName(quiet)
             state = state.withColumn("batch", F.lit(batch_id))
-            state.write.mode("overwrite").parquet(_slot_path(state_path, batch_id))
+            state.write.mode("overwrite").parquet(slot_path(state_path, batch_id))
         finally:
             held.unpersist()
 
@@ -172,16 +172,16 @@ def _require_order(batch: DataFrame, carried: DataFrame, keys, ts: str) -> None:
         raise ValidationError(f"samples at {late[0]['first_ts']} arrived after {late[0]['last_ts']}")
 
 
-def _slot_path(path: str, batch_id: int) -> str:
+def slot_path(path: str, batch_id: int) -> str:
     return f"{path}/slot={batch_id % 3}"
 
 
-def _state_before(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
+def carried_state(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
     """State written by the batch before this one; the first has none.
 
     Every batch writes its state, so a missing slot is an error, not a start.
     """
     if batch_id == 0:
         return None
-    stored = spark.read.parquet(_slot_path(state_path, batch_id - 1))
+    stored = spark.read.parquet(slot_path(state_path, batch_id - 1))
     return stored.filter(F.col("batch") == batch_id - 1).drop("batch")
