@@ -428,7 +428,8 @@ ORACLES = {
                                       "FROM parted GROUP BY 1"),
     "m04_batch_predict": _with("cleaned", "SELECT athlete_id, count(*) AS n_rows, count(*) AS n_possible, "
                                           "CAST(0 AS BIGINT) AS n_far FROM cleaned GROUP BY 1"),
-    "m14_score_job": _with("requests", "SELECT athlete_id, count(*) AS n_rows, count(*) AS n_possible, 1 AS is_equal "
+    "m14_score_job": _with("requests", "SELECT athlete_id, count(*) AS n_rows, count(*) AS n_possible, "
+                                       "CAST(0 AS BIGINT) AS n_far, 1 AS is_equal "
                                        "FROM requests GROUP BY 1"),
     "m13_train_job": _with(
         "parted", "SELECT 'completed' AS status, '1.0' AS model_version, (SELECT count(*) FROM parted) AS samples_used, "
@@ -571,7 +572,10 @@ ORACLES = {
         f"(SELECT max(CAST(ts AS TIMESTAMP)) - INTERVAL 10 MINUTE FROM events)",
     "t03_scoring_stream": _with(
         "perf_raw", "SELECT athlete_id, record_date AS prediction_date, '1.0' AS model_version, count(*) AS n_rows, "
-                    "count(*) AS n_possible FROM perf_raw GROUP BY ALL"),
+                    "count(*) AS n_possible, CAST(0 AS BIGINT) AS n_far FROM perf_raw GROUP BY ALL"),
+    "m11_published_versions": _with(
+        "perf_raw", "SELECT CASE CAST(split_part(record_key, '-', 1) AS BIGINT) % 2 WHEN 0 THEN '2.0' ELSE '2.1' END "
+                    "AS model_version, count(*) AS n_rows, count(*) AS n_equal FROM perf_raw GROUP BY 1"),
     "t04_alert_stream": _closed(_ERROR_ALERT),
     "t04_latency_alert_stream": _closed(_LATENCY_ALERT),
     "t04_service_down_stream": _DOWN_ALERT,

@@ -12,11 +12,11 @@ from pacewell.operators import observability as obs
 from pacewell.operators import scaling
 from pacewell.operators.timeline import counter_increase, hold_state
 from pacewell.plans import model as models
-from pacewell.plans import dashboard, scoring, training
+from pacewell.plans import dashboard, published, scoring, training
 from pacewell.plans.model import ForestSettings
 from pacewell.schemas import CRITICAL, FEATURES, LABEL, RECORD_COLUMNS, SENSORS
 from pacewell.session import scratch_path
-from pacewell.settings import SERVICES, SERVICES_UP_STEPS, SUCCESS_RATIO_STEPS
+from pacewell.settings import SERVICES, SERVICES_UP_STEPS, SERVING_DEFAULTS, SUCCESS_RATIO_STEPS
 from pacewell.sources import files, tables
 from pacewell.sources import testviews as views
 from pacewell.streaming import counters
@@ -510,18 +510,54 @@ def m13_train_job(spark, sf_dir):
     return rows.select("status", "model_version", "samples_used", "metric", good.cast("int").alias("is_good"))
 
 
+def _far_from_label(log):
+    """Marks logged scores that are more than 15 off the label that the logged inputs stand for."""
+    of = {c: F.col("features_used").getItem(c) for c in ("sleep_hours", "sleep_quality", "stress_level", "recovery_score", "training_load")}
+    label = (40 + 3 * of["sleep_quality"] - 2 * of["stress_level"] + of["sleep_hours"]
+             + of["recovery_score"] / 0.75 - of["training_load"] / 50)
+    label = F.when(label < 0, 0.0).when(label > 100, 100.0).otherwise(label)
+    return F.count(F.when(F.abs(F.col("performance_score") - label) > 15, 1)).alias("n_far")
+
+
 @query
 def m14_score_job(spark, sf_dir):
-    """Per athlete: logged answers, those in the range of the labels, and those equal to the rounded log."""
+    """Per athlete: logged answers, those in the range of the labels, those far from their labels, and whether answers are the rounded log."""
     log = scratch_path(spark, "m14-log")
     given = scoring.score_job(_requests(spark, sf_dir), fitted_model(spark, sf_dir)[1], log, partitions=PARTITIONS)
     logged = tables.load_predictions(spark, log)
     sums = logged.groupBy("athlete_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), _possible(spark, sf_dir, "performance_score"),
+        F.count(F.lit(1)).alias("n_rows"), _possible(spark, sf_dir, "performance_score"), _far_from_label(logged),
         F.sum(F.round("performance_score", 2).cast("decimal(20,2)")).alias("logged"))
     answered = given.groupBy("athlete_id").agg(F.sum(F.col("performance_score").cast("decimal(20,2)")).alias("given"))
     return sums.join(answered, "athlete_id").select(
-        "athlete_id", "n_rows", "n_possible", (F.col("logged") == F.col("given")).cast("int").alias("is_equal"))
+        "athlete_id", "n_rows", "n_possible", "n_far", (F.col("logged") == F.col("given")).cast("int").alias("is_equal"))
+
+
+def _rescored(log, model):
+    """Logged rows and those whose score the model gives again for the logged inputs."""
+    inputs = log.select("performance_score", *[F.col("features_used").getItem(c).alias(c) for c in SERVING_DEFAULTS])
+    again = models.score(model, scoring.features_for(inputs))
+    return again.agg(F.count(F.lit(1)).alias("n_rows"),
+                     F.count(F.when(F.col("prediction") == F.col("performance_score"), 1)).alias("n_equal"))
+
+
+@query
+def m11_published_versions(spark, sf_dir):
+    """A stream scores half of the records, another version is published, and it scores the rest: rows by version, all as that version scores them."""
+    path = scratch_path(spark, "m11")
+    root, log = f"{path}/models", f"{path}/log"
+    train = _split(spark, sf_dir).filter("split = 'train'")
+    requests = _perf(spark, sf_dir).withColumn("prediction_date", F.col("record_date"))
+    odd = F.element_at(F.split("record_key", "-"), 1).cast("long") % 2
+    for i, version in enumerate(("2.0", "2.1")):
+        published.publish(models.fit(train, ForestSettings(trees=3 + 2 * i, depth=4)), root, version)
+        requests.filter(odd == i).write.mode("append").parquet(f"{path}/in")
+        arriving = spark.readStream.schema(requests.schema).parquet(f"{path}/in")
+        _finish(streams.published_scoring_stream(arriving, root, log, f"{path}/checkpoint", partitions=PARTITIONS))
+    logged = tables.load_predictions(spark, log)
+    found = [_rescored(logged.filter(F.col("model_version") == v), published.load_version(root, v)).withColumn("model_version", F.lit(v))
+             for v in ("2.0", "2.1")]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -887,7 +923,7 @@ def t03_scoring_stream(spark, sf_dir):
                                    f"{path}/checkpoint", partitions=PARTITIONS))
     log = tables.load_predictions(spark, f"{path}/log")
     return log.groupBy("athlete_id", "prediction_date", "model_version").agg(
-        F.count(F.lit(1)).alias("n_rows"), _possible(spark, sf_dir, "performance_score"))
+        F.count(F.lit(1)).alias("n_rows"), _possible(spark, sf_dir, "performance_score"), _far_from_label(log))
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pacewell.operators.features import request_defaults, serving_features
 from pacewell.plans import model as models
+from pacewell.plans.published import CurrentModel
 from pacewell.schemas import FEATURES, SENSORS
 from pacewell.settings import MODEL_VERSION, SERVING_DEFAULTS
 from pacewell.sources.tables import append_predictions, load_predictions, prediction_rows
@@ -53,11 +54,22 @@ def score_job(requests: DataFrame, model_path: str, log_path: str | None = None,
     """
     rows = prediction_rows(score_with(models.load(model_path), requests, fill_values, partitions),
                            version=version)
+    return _logged(rows, log_path)
+
+
+def _logged(rows: DataFrame, log_path: str | None) -> DataFrame:
     if not log_path:
         return answers(rows)
     batch = uuid.uuid4().hex
     append_predictions(rows, log_path, batch)
-    return answers(load_predictions(requests.sparkSession, log_path, batch))
+    return answers(load_predictions(rows.sparkSession, log_path, batch))
+
+
+def score_published(requests: DataFrame, root: str, log_path: str | None = None,
+                    fill_values: dict[str, float] | None = None, partitions: int | None = None) -> DataFrame:
+    """``score_job`` with the version that is current when the job starts; every row carries it."""
+    version, model = CurrentModel(requests.sparkSession, root).get()
+    return _logged(prediction_rows(score_with(model, requests, fill_values, partitions), version=version), log_path)
 
 
 def score_record(spark: SparkSession, model_path: str, features: dict[str, float],

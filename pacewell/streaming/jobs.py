@@ -16,6 +16,7 @@ from pacewell.operators.intake import coerce, split_batches, split_valid
 from pacewell.operators.observability import fully_matches
 from pacewell.operators.timeline import closing_state
 from pacewell.plans import model as models
+from pacewell.plans.published import CurrentModel
 from pacewell.plans.scoring import score_with
 from pacewell.settings import LATENCY_BOUNDS, MODEL_VERSION, AlertRule
 from pacewell.sources.files import LINE, SOURCE_FILE, csv_lines, json_reader, json_records, numbered, records_of_lines
@@ -127,6 +128,24 @@ def scoring_stream(requests: DataFrame, model_path: str, log_path: str, checkpoi
     return append_stream(rows, log_path, checkpoint, trigger)
 
 
+def published_scoring_stream(requests: DataFrame, root: str, log_path: str, checkpoint: str,
+                             fill_values=None, trigger=None, partitions: int | None = None):
+    """``scoring_stream`` that looks for the current version before each micro-batch.
+
+    A micro-batch is scored by one version, and its rows carry it; a repeated
+    one replaces its rows, by the version that is current then.
+    """
+    current = CurrentModel(requests.sparkSession, root)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        version, model = current.get()
+        rows = prediction_rows(score_with(model, batch, fill_values, partitions), version=version)
+        log_rows(rows).write.mode("overwrite").parquet(batch_path(log_path, batch_id))
+
+    return (requests.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or CAUGHT_UP)).start())
+
+
 def alert_stream(values: DataFrame, rule: AlertRule, path: str, state_path: str, checkpoint: str,
                  keys=(), ts: str = "window_start", value: str = "value",
                  max_gap: int | None = None, trigger=None, slice_seconds: int | None = None):
