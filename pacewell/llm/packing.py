@@ -15,7 +15,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -86,12 +85,12 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, grid: int
 
 
 def _first_fit(capacity: int):
-    def place(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
+    def place(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
         free, bins, offsets = [], [], []
         lowest = 0  # bins before this one have no room for pieces of this length or longer
         last = None
-        for length in rows["length"].tolist():
+        for length in rows["length"].to_pylist():
             if length != last:
                 lowest, last = 0, length
             while lowest < len(free) and free[lowest] < length:
@@ -101,7 +100,8 @@ def _first_fit(capacity: int):
             bins.append(lowest)
             offsets.append(capacity - free[lowest])
             free[lowest] -= length
-        return rows.assign(bin=np.array(bins, "int64"), offset=np.array(offsets, "int64"))[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "bin", "offset"]]
+        columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+        return rows.select(columns).append_column("bin", pa.array(bins, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
 
     return place
 
@@ -134,7 +134,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     filled = numbered.where(complete).withColumn("sequence_id", sequence)
     filled = filled.select(*columns, "sequence_id", F.coalesce(F.sum("length").over(ahead), F.lit(0)).cast("long").alias("offset"))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin long, offset long"
-    rest = numbered.where(~complete).select(*columns).groupBy().applyInPandas(_first_fit(capacity), schema)
+    rest = numbered.where(~complete).select(*columns).groupBy().applyInArrow(_first_fit(capacity), schema)
     rest = rest.select(*columns, (F.col("bin") + F.lit(used)).alias("sequence_id"), "offset")
     return filled.unionByName(rest)
 

@@ -196,3 +196,9 @@ def test_queries(spark, tokens):
         span = text[n // 4 : n // 4 + 12]
         after = edited(text, [(n // 4, 12, span + span), (n // 2, 0, text[:40]), (max(n - 20, 0), 20, "")])
         assert (r["n_tokens"], r["edited_tokens"], r["edited_chars"]) == (len(tokens(text)), len(tokens(after)), len(after))
+
+
+def test_ids_beyond_doubles_beside_null_ids(spark, documents):
+    ids = [None, 2**53 + 1, 2**53 + 3, -(2**62) - 1, None]
+    pieces = packing.pack_documents(documents([(i, f"few words {n}", "en", "a") for n, i in enumerate(ids)])).collect()
+    assert sorted({r["doc_id"] for r in pieces}, key=str) == sorted(set(ids), key=str)
