@@ -116,8 +116,8 @@ def _plan(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(passes=np.int64(passes), extra=extra)[["source", "size", "n", "target", "source_size", "passes", "extra"]]
 
 
-def mix(docs: DataFrame, weights=cyclic_weights, most_repeats: int = MOST_REPEATS, seed: int = SEED) -> DataFrame:
-    """(doc_id, text_key, size, source, source_size, target, taken) of every row; text_key is a hash of the text.
+def mix(docs: DataFrame, weights=cyclic_weights, most_repeats: int = MOST_REPEATS, seed: int = SEED, key: Column | None = None) -> DataFrame:
+    """(doc_id, text_key, size, source, source_size, target, taken) of every row; text_key is a hash of the text, or the ``key`` given.
 
     ``weights`` maps the number of sources to their weights in the order of
     code points, null last. A null source is a source of its own; null and
@@ -128,7 +128,7 @@ def mix(docs: DataFrame, weights=cyclic_weights, most_repeats: int = MOST_REPEAT
     spark = docs.sparkSession
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text").cast("string")).alias("size"),
-        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
+        (F.xxhash64(F.col("text").cast("string")) if key is None else key).alias("text_key"),
     )
     sized = sized.withColumn("place", F.xxhash64("doc_id", F.lit(seed)))
     sized = common.stored(sized.withColumn("salt", F.pmod("place", F.lit(SALTS)).cast("int")), "sizes")
@@ -160,12 +160,18 @@ def mix(docs: DataFrame, weights=cyclic_weights, most_repeats: int = MOST_REPEAT
 
 
 def mixed_documents(docs: DataFrame, weights=cyclic_weights, most_repeats: int = MOST_REPEATS, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it; all columns stay. Rows without words are not taken."""
-    plan = mix(docs, weights, most_repeats, seed).where("taken > 0")
+    """The rows of ``docs``, each as often as the mix takes it, with all of its own columns.
+
+    Null and empty texts and others without words are not taken. Rows are told
+    apart by a hash of all columns; rows equal in all of them stand in for each other.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    plan = mix(docs, weights, most_repeats, seed, key).where("taken > 0")
     times = F.sum(F.col("taken") / F.col("size")).cast("int").alias("__times")
     plan = plan.groupBy("doc_id", "text_key", "source").agg(times)
     plan = plan.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("source").alias("__source"), "__times")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("__key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
     joined = docs.join(plan, same & F.col("source").cast("string").eqNullSafe(F.col("__source"))).dropDuplicates(["__id", "__key", "__source"])
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
 

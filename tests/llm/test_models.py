@@ -171,6 +171,22 @@ def test_mix_of_odd_rows(documents, odd_rows):
     assert mixing.mix(documents([])).count() == 0 and mixing.mixed_documents(documents([])).count() == 0
 
 
+def test_mixed_rows_keep_their_own_columns(documents):
+    rows = [(1, "some words stand here", "en", "a"), (1, "some words stand here", "fr", "a"), (1, "some words stand here", None, "a"), (2, "others are here", "en", "b")]
+    docs = documents(rows)
+    found = mixing.mixed_documents(docs).collect()
+    taken = {(r["doc_id"], r["lang"]): 0 for r in found}
+    for r in found:
+        taken[r["doc_id"], r["lang"]] += 1
+    plan = {}
+    for r in mixing.mix(docs).collect():
+        plan[r["doc_id"]] = plan.get(r["doc_id"], 0) + r["taken"] // r["size"]
+    for doc_id in (1, 2):
+        assert sum(n for (i, _), n in taken.items() if i == doc_id) == plan[doc_id]
+    assert len([k for k in taken if k[0] == 1]) == min(3, plan[1])  # none stands in for another
+
+
+
 def test_pipeline_stage_by_stage(spark):
     """Each stage's rows follow from those before it."""
     docs = common.table(spark, MIDDLE, "documents")
