@@ -59,7 +59,7 @@ def exact_split(df: DataFrame, key_columns=None, test_size: float = TEST_SIZE,
     first = leading_bits(seeded_hash(seed, _key(df, key_columns)))
     top = 2**60 - 1
     cut = select_ranks(df, {"hash": (first, "long", 0, top)},
-                       lambda n: [math.ceil(test_size * n) - 1])["hash"]
+                       lambda n: [math.ceil(test_size * n) - 1], scanned=False)["hash"]
     if not cut:
         return df.withColumn("split", F.lit(TRAIN))
     edge = cut[0]
@@ -72,7 +72,7 @@ def exact_split(df: DataFrame, key_columns=None, test_size: float = TEST_SIZE,
     second = leading_bits(seeded_hash(seed, row_key([F.col(c) for c in df.columns])))
     tied = df.filter(first == edge.value)
     needed = wanted - edge.below
-    inner = select_ranks(tied, {"hash": (second, "long", 0, top)}, lambda n: [needed - 1])["hash"][0]
+    inner = select_ranks(tied, {"hash": (second, "long", 0, top)}, lambda n: [needed - 1], scanned=False)["hash"][0]
     side = _side(second, inner, needed)
     if side is not None:
         return df.withColumn(

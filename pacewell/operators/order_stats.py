@@ -65,16 +65,16 @@ def _wanted(search: _Search) -> Column:
     return search.column.between(F.lit(search.low).cast(search.kind), F.lit(search.high).cast(search.kind))
 
 
-def _count_pass(df: DataFrame, searches: list[_Search]) -> dict[int, list]:
+def _count_pass(df: DataFrame, searches: list[_Search], scanned: bool) -> dict[int, list]:
     """Count, minimum and maximum per bucket for all searches in one job."""
     found = {}
     for kind in sorted({s.kind for s in searches}):
         mine = [(i, s) for i, s in enumerate(searches) if s.kind == kind]
-        # The searched columns are projected first: an expensive one, such as
-        # a digest, is then computed once per row and not once per mention.
-        # Rows outside all intervals go first; on plain columns the scan skips them.
-        inside = reduce(or_, [_wanted(s) for _, s in mine])
-        values = df.filter(inside).select(*[F.when(_wanted(s), s.column).alias(f"v{i}") for i, s in mine])
+        # Of columns of a table, rows outside all intervals go first: the scan skips
+        # them. A computed column, such as a digest, is not filtered by: a filter
+        # would compute it for every mention, the projection does so once a row.
+        inside = df.filter(reduce(or_, [_wanted(s) for _, s in mine])) if scanned else df
+        values = inside.select(*[F.when(_wanted(s), s.column).alias(f"v{i}") for i, s in mine])
         entries = [F.struct(F.lit(i).alias("search"), _bucket(s, F.col(f"v{i}")).alias("bucket"),
                             F.col(f"v{i}").alias("value")) for i, s in mine]
         counted = (
@@ -100,16 +100,16 @@ def _narrow(search: _Search, rows) -> Selected | _Search:
     raise ValueError(f"rank {search.rank} is outside the {seen} values of {search.name}")
 
 
-def select_ranks(df: DataFrame, columns: dict[str, tuple], ranks_of) -> dict[str, list[Selected]]:
+def select_ranks(df: DataFrame, columns: dict[str, tuple], ranks_of, scanned: bool = True) -> dict[str, list[Selected]]:
     """Values at given ranks of several columns.
 
     ``columns`` maps a name to ``(column, type, low, high)``; bounds that
     enclose most values save passes. ``ranks_of(n)`` gives the wanted zero-based
     ranks among ``n`` values. NULL and NaN are left out. A column without values
-    maps to ``[]``.
+    maps to ``[]``. Say ``scanned=False`` where columns are dear to compute.
     """
     start = [_Search(n, c, kind, low, high) for n, (c, kind, low, high) in columns.items()]
-    first = _count_pass(df, start)
+    first = _count_pass(df, start, scanned)
     done: dict[str, dict[int, Selected]] = {s.name: {} for s in start}
     order: dict[str, list[int]] = {}
     pending: list[_Search] = []
@@ -128,7 +128,7 @@ def select_ranks(df: DataFrame, columns: dict[str, tuple], ranks_of) -> dict[str
         spans = {}
         for s in pending:
             spans.setdefault((s.name, s.low, s.high), []).append(s)
-        passed = _count_pass(df, [group[0] for group in spans.values()])
+        passed = _count_pass(df, [group[0] for group in spans.values()], scanned)
         pending = []
         for i, group in enumerate(spans.values()):
             for search in group:
