@@ -478,6 +478,15 @@ ORACLES = {
     "a09_daily_means": _with(
         "perf_raw", "SELECT record_date, round(avg(performance_score), 9) AS mean_performance_score FROM perf_raw "
                     "WHERE performance_score IS NOT NULL GROUP BY 1"),
+    "a09_daily_means_rollup": _with(
+        "perf_raw", "SELECT record_date, round(avg(performance_score), 9) AS mean_performance_score FROM perf_raw "
+                    "WHERE performance_score IS NOT NULL GROUP BY 1"),
+    "a08_history_rollup": _with(
+        "perf_raw", "SELECT strftime(record_date, '%Y-%m') AS month, count(*) AS records, min(record_date) AS first_date, "
+                    "max(record_date) AS last_date, 1 AS is_near FROM perf_raw GROUP BY 1"),
+    "f01_median_sketch": _with(
+        "perf_raw", "SELECT 'resting_heart_rate' AS sensor, count(resting_heart_rate) AS n_values, 1 AS is_near FROM perf_raw "
+                    "UNION ALL SELECT 'hrv', count(hrv), 1 FROM perf_raw"),
     "a09_daily_performance": _with(
         "featured", "SELECT record_date, round(avg(performance_score), 9) AS mean_performance_score, "
                     "round(avg(sleep_recovery_ratio), 9) AS mean_sleep_recovery_ratio, "

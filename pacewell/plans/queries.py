@@ -9,7 +9,7 @@ from pacewell.errors import InsufficientDataError
 from pacewell.functions.columns import band, iso_text, shown
 from pacewell.operators import alerts, analytics, clean, dataset, features, intake, metrics
 from pacewell.operators import observability as obs
-from pacewell.operators import scaling
+from pacewell.operators import rollup, scaling
 from pacewell.operators.timeline import counter_increase, hold_state
 from pacewell.plans import model as models
 from pacewell.plans import dashboard, published, scoring, training
@@ -19,7 +19,7 @@ from pacewell.session import scratch_path
 from pacewell.settings import SERVICES, SERVICES_UP_STEPS, SERVING_DEFAULTS, SUCCESS_RATIO_STEPS
 from pacewell.sources import files, tables
 from pacewell.sources import testviews as views
-from pacewell.streaming import counters
+from pacewell.streaming import counters, rollups
 from pacewell.streaming import jobs as streams
 from pacewell.streaming.event_alerts import event_time_alerts, with_state_store
 
@@ -629,6 +629,49 @@ def a09_daily_means(spark, sf_dir):
     return _six(means, f"mean_{LABEL}", digits=9)
 
 
+@query
+def a09_daily_means_rollup(spark, sf_dir):
+    """Daily means from partials that a stream of three micro-batches kept, without a record being read again."""
+    path = scratch_path(spark, "a09-rollup")
+    records = _perf(spark, sf_dir)
+    for i in range(3):
+        part = F.pmod(F.xxhash64("record_key"), F.lit(3)) == i
+        records.filter(part).write.mode("append").parquet(f"{path}/in/part_{i}")
+    arriving = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/in/*")
+    _finish(rollups.rollup_stream(arriving, f"{path}/out", f"{path}/checkpoint"))
+    means = rollup.daily_means(rollups.read_rollup(spark, f"{path}/out"))
+    return _six(means, f"mean_{LABEL}", digits=9)
+
+
+def _partials(spark, sf_dir):
+    path = scratch_path(spark, "partials")
+    rollup.daily_partials(_perf(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query
+def a08_history_rollup(spark, sf_dir):
+    """Figures of each month from daily partials; is the distinct count within its bound of the exact one?"""
+    month = F.date_format("record_date", "yyyy-MM").alias("month")
+    found = rollup.history_figures(_partials(spark, sf_dir).withColumn("month", month), "month")
+    exact = _perf(spark, sf_dir).groupBy(month).agg(F.count_distinct("athlete_id").alias("exact"))
+    near = F.abs(F.col("athletes") - F.col("exact")) <= rollup.DISTINCT_ERROR * F.col("exact")
+    return found.join(exact, "month").select("month", "records", "first_date", "last_date", near.cast("int").alias("is_near"))
+
+
+@query
+def f01_median_sketch(spark, sf_dir):
+    """Medians of the sensors from daily partials; is their rank within its bound?"""
+    partials, records = _partials(spark, sf_dir), _perf(spark, sf_dir)
+    medians = {c: rollup.quantiles(partials, c, {"median": 0.5}).first()["median"] for c in SENSORS}
+    counted = [records.filter(F.col(c).isNotNull()).agg(
+        F.lit(c).alias("sensor"), F.count(F.lit(1)).alias("n_values"),
+        ((F.count_if(F.col(c) < medians[c]) <= (0.5 + rollup.RANK_ERROR) * F.count(F.lit(1)))
+         & (F.count_if(F.col(c) <= medians[c]) >= (0.5 - rollup.RANK_ERROR) * F.count(F.lit(1)))).cast("int").alias("is_near"))
+        for c in SENSORS]
+    return functools.reduce(DataFrame.unionByName, counted)
+
+
 @query
 def a09_history_page(spark, sf_dir):
     ties = ("record_key", *[c for c in RECORD_COLUMNS if c != "record_date"])
