@@ -327,6 +327,34 @@ _INCREASE = _with(
                "CASE WHEN v0 IS NULL THEN 0 WHEN v < v0 THEN v ELSE v - v0 END AS d FROM lagged"))
 
 
+def _steps(step, width):
+    """Ends of the ranges that hold a sample: steps from its own time on, as many as a range has."""
+    at = f"CAST(ceil(epoch_us(ts) / {step * 10**6}.0) AS BIGINT) * {step * 10**6}"
+    return f"unnest(generate_series({at}, epoch_us(ts) + {width * 10**6} - 1, {step * 10**6})) AS at_us"
+
+
+_FAR = "CASE WHEN {gap} >= mean * 1.1 THEN mean / 2 ELSE {gap} END"
+_RANGE_INCREASE = _with(
+    "counter_samples",
+    f"SELECT {_SERIES}, make_timestamp(at_us) AS ts, n_samples, round(increase, 6) AS increase, round(increase / 3600, 6) AS rate "
+    "FROM (SELECT *, raw * (span + CASE WHEN raw > 0 THEN least(head, span * v / raw) ELSE head END + tail) / span AS increase FROM ("
+    f"SELECT *, {_FAR.format(gap='head_gap')} AS head, {_FAR.format(gap='tail_gap')} AS tail FROM edged))",
+    ("lagged", f"SELECT *, lag(v) OVER (PARTITION BY {_SERIES} ORDER BY ts, event_id, v) AS v0 FROM counter_samples"),
+    ("ranged", f"SELECT *, CASE WHEN v0 IS NULL THEN 0 WHEN v < v0 THEN v ELSE v - v0 END AS d, {_steps(300, 3600)} FROM lagged"),
+    ("summed", f"SELECT {_SERIES}, at_us, count(*) AS n_samples, "
+               "CAST(sum(d) - arg_min(d, ROW(ts, event_id)) AS DOUBLE) AS raw, "
+               "CAST(arg_min(v, ROW(ts, event_id)) AS DOUBLE) AS v, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us "
+               "FROM ranged GROUP BY ALL"),
+    ("edged", "SELECT *, (last_us - first_us) / 1e6 AS span, (last_us - first_us) / 1e6 / (n_samples - 1) AS mean, "
+              "(first_us - at_us) / 1e6 + 3600 AS head_gap, (at_us - last_us) / 1e6 AS tail_gap "
+              "FROM summed WHERE n_samples > 1 AND last_us > first_us"))
+_UP_LOOKBACK = _with(
+    "request_log",
+    "SELECT make_timestamp(at_us) AS ts, CAST(sum(up) AS BIGINT) AS services_up, count(*) AS n_known FROM ("
+    "SELECT job, at_us, arg_max(CASE WHEN status = '200' THEN 1 ELSE 0 END, ROW(ts, event_id)) AS up FROM seen GROUP BY ALL) GROUP BY ALL",
+    ("seen", f"SELECT *, {_steps(900, 1800)} FROM request_log WHERE job IN ('api', 'data-ingestion', 'ml-trainer')"))
+
+
 ORACLES = {
     "s01_csv_scan": _with("perf_raw", f"SELECT {RECORD} FROM perf_raw"),
     "s01_csv_headers": READ_BACK,
@@ -554,6 +582,8 @@ ORACLES = {
     "o11_trainer_quantiles": _quantiles([], {"p50": 0.5, "p95": 0.95}, "job = 'ml-trainer'"),
     "o11_overall_p95": _quantiles([], {"p95": 0.95}),
     "o12_counter_increase": _INCREASE,
+    "o06_range_increase": _RANGE_INCREASE,
+    "o05_services_up_lookback": _UP_LOOKBACK,
     "o13_label_matchers": _with(
         "measured", "SELECT job, status, count(*) AS n_requests FROM measured "
                     "WHERE regexp_full_match(job, 'api|data-ingestion') AND regexp_full_match(status, '5..') GROUP BY ALL"),

@@ -9,7 +9,7 @@ from pacewell.errors import InsufficientDataError
 from pacewell.functions.columns import band, iso_text, shown
 from pacewell.operators import alerts, analytics, clean, dataset, features, intake, metrics
 from pacewell.operators import observability as obs
-from pacewell.operators import rollup, scaling
+from pacewell.operators import ranges, rollup, scaling
 from pacewell.operators.timeline import counter_increase, hold_state
 from pacewell.plans import model as models
 from pacewell.plans import dashboard, published, scoring, training
@@ -771,6 +771,21 @@ def o06_predictions_per_hour(spark, sf_dir):
     return obs.request_increase(obs.matching(_log(spark, sf_dir), {"job": "api", "endpoint": "/predict"}))
 
 
+@query
+def o06_range_increase(spark, sf_dir):
+    """Increase over the hour before every fifth minute, of counters that restart every day."""
+    found = ranges.range_increase(views.counter_samples(spark, sf_dir), COUNTER_LABELS, "ts", "v", 300, 3600, ["event_id"])
+    return _six(found, "increase", "rate")
+
+
+@query
+def o05_services_up_lookback(spark, sf_dir):
+    """Services up at every quarter of an hour; each answer of a service is a sample that counts for half an hour."""
+    answers = obs.matching(views.request_log(spark, sf_dir), patterns={"job": "|".join(SERVICES)})
+    samples = answers.withColumn("up", F.when(F.col("status") == "200", F.lit(1)).otherwise(F.lit(0)))
+    return ranges.services_up_at(samples, 900, 1800, ties=["event_id"])
+
+
 @query
 def o07_trainings_per_day(spark, sf_dir):
     log = obs.matching(_log(spark, sf_dir), {"job": "api", "endpoint": "/train", "status": "200"})
