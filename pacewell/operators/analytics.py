@@ -1,9 +1,12 @@
 """Listings, key figures and series for the dashboard."""
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacewell.functions.columns import iso_text, known
+from pacewell.operators.order_stats import select_ranks
 from pacewell.schemas import LABEL, RECORD_COLUMNS
 
 RUN_METRICS = ["test_mae", "test_rmse", "test_r2"]
@@ -14,29 +17,47 @@ def latest(df: DataFrame, n: int | None, by: str, *ties: str) -> DataFrame:
 
     The tie columns make the choice unique. Rows are counted per day first, so
     that a filter on the time, which the scan can use, leaves only the days the
-    newest rows are from; sort and limit then see little more than ``n`` rows.
+    newest rows are from. Where the last such day is a hot one, as after a bulk
+    load, the time that its wanted rows reach back to is found by counting too.
+    Sort and limit then see little more than ``n`` rows, and those of one instant.
     """
     order = [F.desc(by), *[F.desc(t) for t in ties]]
     if n is None:
         return df.orderBy(*order)
     if n < 1:
         raise ValueError("a listing has at least one row")
-    since = _first_day(df, n, by)
-    return (df if since is None else df.filter(F.col(by) >= F.lit(since))).orderBy(*order).limit(n)
+    since = _since(df, n, by)
+    return (df if since is None else df.filter(F.col(by) >= since)).orderBy(*order).limit(n)
+
+
+# A day of more rows than this for each wanted one is searched for the time within it.
+HOT_DAY = 16
 
 
-def _first_day(df: DataFrame, n: int, by: str):
-    """The day that the newest ``n`` rows reach back to; ``None`` if there are fewer rows with a time."""
+def _since(df: DataFrame, n: int, by: str) -> Column | None:
+    """A time after which the newest ``n`` rows are; ``None`` if there are fewer rows with a time."""
     # One row per day of the calendar.
     days = df.filter(F.col(by).isNotNull()).groupBy(F.to_date(by).alias("day")).agg(F.count(F.lit(1)).alias("n"))
     seen = 0
     for day in sorted(days.collect(), key=lambda r: r["day"], reverse=True):
         seen += day["n"]
         if seen >= n:
-            return day["day"]
+            if day["n"] > HOT_DAY * n and df.schema[by].dataType.typeName() != "date":
+                return _within_day(df, day["day"], seen - n, by)
+            return F.lit(day["day"])
     return None
 
 
+def _within_day(df: DataFrame, day: date, rank: int, by: str) -> Column:
+    """The time at a rank, from 0, of the rows since a day."""
+    kind = df.schema[by].dataType
+    start = F.lit(day).cast("timestamp")
+    begun = df.sparkSession.range(1).select(F.unix_micros(start)).first()[0]
+    us = F.unix_micros(F.col(by).cast("timestamp"))
+    (cut,) = select_ranks(df.filter(F.col(by) >= F.lit(day)), {by: (us, "long", begun, begun + 86_400_000_000)}, lambda total: [rank])[by]
+    return F.timestamp_micros(F.lit(cut.value)).cast(kind)
+
+
 def latest_predictions(predictions: DataFrame, limit: int | None = 500) -> DataFrame:
     top = latest(predictions, limit, "created_at", "id")
     return top.select("id", "athlete_id", "prediction_date", "performance_score",

@@ -406,6 +406,12 @@ ORACLES = {
     "v05_rules_api": _rules(API, "perf_raw"),
     "v06_rules_predict": _rules(PREDICT, "requests"),
     "v07_batch_policy": VERDICT,
+    "v07_quarantine": _with(
+        "perf_raw", "SELECT first_violation, CAST(sum(count(*)) OVER (PARTITION BY first_violation = 'none') AS BIGINT) AS n_told, "
+                    "count(*) AS n_rows FROM (SELECT CASE WHEN recovery_score = 9 THEN 'record_date_unparsed' "
+                    f"WHEN stress_level = 6 THEN 'training_load_unparsed' {_FIRST} ELSE 'none' END AS first_violation FROM ("
+                    "SELECT * REPLACE (CASE WHEN recovery_score <> 10.5 THEN athlete_id END AS athlete_id, "
+                    "CASE WHEN recovery_score <> 3 THEN hrv END AS hrv) FROM perf_raw)) GROUP BY 1"),
     "v07_whole_batches": _with(
         "perf_raw", "SELECT athlete_id, coalesce(first_violation, 'none') AS first_violation, count(*) AS n_batches, "
                     "CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_bad) AS BIGINT) AS n_bad FROM ("
@@ -561,6 +567,7 @@ ORACLES = {
                    + ", ".join(f"('{b}', CAST({b} AS DOUBLE))" for b in BOUNDS)
                    + ", ('+Inf', CAST('infinity' AS DOUBLE))) AS b(le, bound)")),
     "o04_latency_quantiles": _quantiles(["endpoint"], {"p50": 0.5, "p95": 0.95}, "job = 'api'"),
+    "o04_quantiles_of_buckets": _quantiles(["endpoint"], {"p50": 0.5, "p95": 0.95}, "job = 'api'"),
     "o05_services_up": _with("up_samples", "SELECT CAST(sum(up) AS BIGINT) AS services_up FROM up_samples "
                                            "WHERE ts = (SELECT max(ts) FROM up_samples)"),
     "o06_predictions_per_hour": _with(

@@ -12,7 +12,7 @@ from pacewell.operators import observability as obs
 from pacewell.operators import ranges, rollup, scaling
 from pacewell.operators.timeline import counter_increase, hold_state
 from pacewell.plans import model as models
-from pacewell.plans import dashboard, published, scoring, training
+from pacewell.plans import dashboard, ingest, published, scoring, training
 from pacewell.plans.model import ForestSettings
 from pacewell.schemas import CRITICAL, FEATURES, LABEL, RECORD_COLUMNS, SENSORS
 from pacewell.session import scratch_path
@@ -26,7 +26,7 @@ from pacewell.streaming.event_alerts import event_time_alerts, with_state_store
 QUERIES = {}
 
 # Requests are dealt into as many tasks as training rows.
-PARTITIONS = ForestSettings().partitions
+PARTITIONS = ForestSettings().least_partitions
 
 COUNTER_LABELS = ["job", "method", "endpoint", "status"]
 
@@ -277,6 +277,16 @@ def v07_whole_batches(spark, sf_dir):
         F.count(F.lit(1)).alias("n_batches"), F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"))
 
 
+@query
+def v07_quarantine(spark, sf_dir):
+    """Records as text through an intake job that sets bad ones aside: rows of both tables by their first violation."""
+    path = scratch_path(spark, "v07-quarantine")
+    kept, aside = ingest.ingest_or_quarantine(_as_text(spark, sf_dir), f"{path}/table", f"{path}/bad")
+    good = tables.load_performance(spark, f"{path}/table").select(F.lit("none").alias("first_violation"), F.lit(kept).alias("n_told"))
+    bad = spark.read.parquet(f"{path}/bad").select(F.get("violations", 0).alias("first_violation"), F.lit(aside).alias("n_told"))
+    return good.unionByName(bad).groupBy("first_violation", F.col("n_told").cast("long").alias("n_told")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def c01_drop_incomplete(spark, sf_dir):
     return _keyed(clean.drop_incomplete(_perf(spark, sf_dir)), *CRITICAL)
@@ -761,6 +771,15 @@ def o04_latency_quantiles(spark, sf_dir):
     return obs.latency_quantiles(api, ["endpoint"])
 
 
+@query
+def o04_quantiles_of_buckets(spark, sf_dir):
+    """Quantiles from bucket counts in long form, summed over methods."""
+    keys = ["method", "endpoint", "window_start"]
+    api = obs.matching(_log(spark, sf_dir), {"job": "api"})
+    buckets = obs.histogram_rows(obs.latency_histogram(api, ["method", "endpoint"], 300), keys)
+    return obs.quantiles_of_buckets(buckets, ["endpoint"], value="n_requests")
+
+
 @query
 def o05_services_up(spark, sf_dir):
     return obs.services_up(views.up_samples(spark, sf_dir), "|".join(SERVICES))

@@ -38,6 +38,20 @@ def test_listings_read_the_newest_days_only(stored):
     assert "GreaterThanOrEqual(record_date,2031-03-17)" in scan
 
 
+def test_listings_look_into_a_hot_day(spark):
+    """All rows of one day: what is sorted is little more than what is listed, ties at the cut included."""
+    rows = spark.range(5000).selectExpr(
+        "id", "timestamp_seconds(1893456000 + (id * 7919) % 5000 div 3) AS created_at", "id % 7 AS v").repartition(8)
+    found = analytics.latest(rows, 20, "created_at", "id")
+    wanted = sorted(rows.collect(), key=lambda r: (r["created_at"], r["id"]), reverse=True)[:20]
+    assert [r["id"] for r in found.collect()] == [r["id"] for r in wanted]
+    assert rows.filter(F.col("created_at") >= analytics._since(rows, 20, "created_at")).count() <= 20 + 3
+    late = spark.createDataFrame([(9000 + i,) for i in range(8)], "id long").selectExpr("id", "timestamp_seconds(1893456000 + 90000) AS created_at", "id AS v")
+    both = rows.unionByName(late)
+    assert both.filter(F.col("created_at") >= analytics._since(both, 20, "created_at")).count() <= 20 + 3
+    assert [r["id"] for r in analytics.latest(both, 20, "created_at", "id").collect()] == [9007 - i for i in range(8)] + [r["id"] for r in wanted[:12]]
+
+
 def test_figures_do_not_sort_the_table(spark, stored):
     figures = analytics.prediction_figures(stored.select(
         "athlete_id", "performance_score", F.col("record_date").alias("created_at"), F.col("hrv").alias("id")))
