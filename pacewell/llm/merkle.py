@@ -1,16 +1,19 @@
-"""Document fingerprints: hashes over runs of words, sections and the whole text.
+"""Document fingerprints: Merkle trees over words, paragraphs and sections, as text.
 
 Paragraphs are lines; a paragraph's leaves are its runs of LEAF_WORDS words. A
-section is SECTION_LINES paragraphs in a row. The fingerprint is text:
-
-    root|section:leaf,leaf;leaf|section:leaf...
-
-with commas between the leaves of a paragraph and semicolons between
-paragraphs. A section's hash covers its leaves; the root is a hash of the
-whole text, not of the section hashes, and paragraphs have no hash of their
-own. Equal roots mean equal texts, differing sections narrow an edit down, and
-differing leaves locate it. Sections and leaves are fixed runs, so an inserted
-line or word also changes those after it. All of it is column expressions.
+leaf's hash is over its words, a paragraph's over its leaves' hashes, a
+section's over its paragraphs', the root's over the sections'. The tree is
+written as
+
+    root|section:paragraph=leaf,leaf;paragraph=leaf|section:paragraph=...
+
+Inner hashes are whole, so equal roots mean equal texts; the written leaves
+are cut short, since they only serve to compare. A section ends after a
+paragraph whose hash says so, one in eight: sections are cut by what they
+hold, so an inserted line changes its own section and leaves those after it.
+Leaves are fixed runs, so an inserted word also changes the leaves after it,
+up to the end of its paragraph. All of it is column expressions, and each
+looks at a text once, whatever its number of lines.
 """
 
 from __future__ import annotations
@@ -22,49 +25,73 @@ from pyspark.sql.window import Window
 from pacewell.llm import common
 
 LEAF_WORDS = 6
-SECTION_LINES = 8
-LEAF_DIGITS, SECTION_DIGITS = 8, 16
+LEAF_DIGITS = 8
+NODE_DIGITS = 32
+CUTS = ("0", "8")
 PARTS = 64
 
 
-def _leaves(line: Column) -> Column:
-    """Hashes of the runs of words of a paragraph; the break after a run belongs to it."""
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _paragraph(line: Column) -> Column:
+    """Hash and leaves of a paragraph, and what parts it from the next one; the break after a run of words belongs to it."""
     marked = F.regexp_replace(line, rf"((?:[^ ]* ){{{LEAF_WORDS}}})", "$1\u0001")
-    return F.array_join(F.transform(F.split(marked, "\u0001", -1), lambda run: F.left(F.md5(run.cast("binary")), F.lit(LEAF_DIGITS))), ",")
+    hashes = F.transform(F.split(marked, "\u0001", -1), lambda run: F.md5(run.cast("binary")))
+
+    def written(leaves: Column) -> Column:
+        short = F.array_join(F.transform(leaves, lambda h: F.left(h, F.lit(LEAF_DIGITS))), ",")
+        return _let(F.md5(F.array_join(leaves, ",").cast("binary")), lambda node: F.concat(
+            node, F.lit("="), short, F.when(F.left(node, F.lit(1)).isin(*CUTS), "|").otherwise(";")))
+
+    return _let(hashes, written)
 
 
 def fingerprint(text: Column) -> Column:
-    """The fingerprint of a text; null counts as empty. Texts that differ have different roots, up to SHA-256."""
-    text = F.coalesce(text, F.lit(""))
-    paragraphs = F.transform(F.split(text, "\n", -1), _leaves)
-    starts = F.sequence(F.lit(0), F.floor((F.size(paragraphs) - 1) / SECTION_LINES).cast("int"))
-    sections = F.transform(starts, lambda i: F.array_join(F.slice(paragraphs, i * SECTION_LINES + 1, F.lit(SECTION_LINES)), ";"))
-    hashed = F.transform(sections, lambda s: F.concat(F.left(F.md5(s.cast("binary")), F.lit(SECTION_DIGITS)), F.lit(":"), s))
-    return F.concat_ws("|", F.sha2(text.cast("binary"), 256), F.array_join(hashed, "|"))
+    """The fingerprint of a text; null counts as empty. Texts that differ have different roots, up to MD5."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
+    written = F.regexp_replace(F.array_join(F.transform(lines, _paragraph), ""), "[|;]$", "")
+    sections = F.transform(F.split(written, r"\|", -1), lambda s: F.concat(F.md5(s.cast("binary")), F.lit(":"), s))
+
+    def rooted(parts: Column) -> Column:
+        nodes = F.array_join(F.transform(parts, lambda s: F.left(s, F.lit(NODE_DIGITS))), ",")
+        return F.concat(F.sha2(nodes.cast("binary"), 256), F.lit("|"), F.array_join(parts, "|"))
+
+    return _let(sections, rooted)
+
+
+def sections(print_: Column) -> Column:
+    """The sections of a fingerprint in order, each with its hash, paragraphs and leaves."""
+    return F.slice(F.split(print_, r"\|", -1), 2, F.lit(1 << 30))
 
 
 def leaves(print_: Column) -> Column:
     """All leaf hashes of a fingerprint, in order."""
-    bare = F.regexp_replace(F.regexp_replace(print_, r"^[0-9a-f]*\|", ""), r"(^|\|)[0-9a-f]*:", "$1")
+    bare = F.regexp_replace(F.regexp_replace(print_, r"^[0-9a-f]*\|", ""), rf"[0-9a-f]{{{NODE_DIGITS}}}[:=]", "")
     return F.split(bare, r"[|;,]", -1)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of distinct leaves in common, of the fingerprint that has more; 1 for equal roots."""
-    x, y = F.array_distinct(leaves(a)), F.array_distinct(leaves(b))
-    shared = F.size(F.array_intersect(x, y)) / F.greatest(F.size(x), F.size(y)).cast("double")
-    return F.when(F.substring_index(a, "|", 1) == F.substring_index(b, "|", 1), F.lit(1.0)).otherwise(shared)
+    both = F.array(F.array_distinct(leaves(a)), F.array_distinct(leaves(b)))
+
+    def shared(xy: Column) -> Column:
+        x, y = F.get(xy, 0), F.get(xy, 1)
+        return F.size(F.array_intersect(x, y)) / F.greatest(F.size(x), F.size(y)).cast("double")
+
+    return F.when(F.substring_index(a, "|", 1) == F.substring_index(b, "|", 1), F.lit(1.0)).otherwise(_let(both, shared))
 
 
 def changed_sections(a: Column, b: Column) -> Column:
-    """Numbers (from 0) of the sections that differ or that only one text has."""
+    """Numbers (from 0) of the sections of ``b`` that ``a`` does not have; the other way round, those that are gone."""
 
-    def parts(p: Column) -> Column:
-        return F.slice(F.split(p, r"\|", -1), 2, F.lit(1 << 30))
+    def new(known: Column) -> Column:
+        numbered = F.transform(sections(b), lambda s, i: F.when(F.array_contains(known, s), F.lit(None)).otherwise(i))
+        return F.filter(numbered, lambda i: i.isNotNull())
 
-    both = F.arrays_zip(parts(a).alias("x"), parts(b).alias("y"))
-    numbered = F.transform(both, lambda s, i: F.when(s["x"].eqNullSafe(s["y"]), F.lit(None)).otherwise(i))
-    return F.filter(numbered, lambda i: i.isNotNull())
+    return _let(sections(a), new)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -87,9 +114,12 @@ def _range_of(key: Column, bounds: list[int]) -> Column:
     return at * step + F.size(F.filter(own, lambda b: b <= key))
 
 
-def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
+def with_next(docs: DataFrame, parts: int | None = None, made=None) -> DataFrame:
     """(doc_id, text, next_text): the text of the next row in ascending doc_id; after the last comes the first.
 
+    With ``made``, a function of the text, also what it gives for the text and
+    for the next one (made, next_made), which is computed once for each row.
+
     Null ids come first, equal ids follow by the hash of their text, and null
     texts are empty. Rows are dealt by ranges of doc_id, in which a window
     finds the next one; the first and the last row of each range, one a range,
@@ -99,25 +129,26 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     parts = parts or max(PARTS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     least = -(1 << 63)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(least)))
+    made = made or (lambda text: F.lit(""))
+    rows = rows.withColumns({"key": F.coalesce("doc_id", F.lit(least)), "made": made(F.col("text"))})
     ranges = _ranges(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("key")), parts)
     if not ranges:
-        return rows.select("doc_id", "text", F.col("text").alias("next_text"))
+        return rows.select("doc_id", "text", F.col("text").alias("next_text"), "made", F.col("made").alias("next_made"))
     bounds = [r[0] for r in ranges]
     order = Window.partitionBy("range").orderBy("key", F.xxhash64("text"))
     ranged = rows.withColumn("range", _range_of(F.col("key"), bounds))
-    inner = ranged.withColumn("next_text", F.lead("text").over(order)).where("next_text IS NOT NULL")
+    inner = ranged.withColumns({f"next_{c}": F.lead(c).over(order) for c in ("text", "made")}).where("next_text IS NOT NULL")
 
     def ends(keys: list[int], choose) -> DataFrame:
         own = F.col("doc_id").isin([k for k in keys if k != least])
         own = own | F.col("doc_id").isNull() | (F.col("doc_id") == least) if least in keys else own
-        return rows.where(own).groupBy("key").agg(choose(F.struct("doc_id", "text"), F.xxhash64("text")).alias("end"))
+        return rows.where(own).groupBy("key").agg(choose(F.struct("doc_id", "text", "made"), F.xxhash64("text")).alias("end"))
 
-    last = ends([r[1] for r in ranges], F.max_by).select(_range_of(F.col("key"), bounds).alias("range"), "end.doc_id", "end.text")
+    last = ends([r[1] for r in ranges], F.max_by).select(_range_of(F.col("key"), bounds).alias("range"), "end.doc_id", "end.text", "end.made")
     # The first row of a range follows the last one of the range before, that of the first range the last of all.
     before = F.pmod(_range_of(F.col("key"), bounds) - 2, F.lit(len(bounds))) + 1
-    first = ends(bounds, F.min_by).select(before.alias("range"), F.col("end.text").alias("next_text"))
-    columns = "doc_id", "text", "next_text"
+    first = ends(bounds, F.min_by).select(before.alias("range"), F.col("end.text").alias("next_text"), F.col("end.made").alias("next_made"))
+    columns = "doc_id", "text", "next_text", "made", "next_made"
     return inner.select(*columns).unionByName(last.join(first, "range").select(*columns))
 
 
@@ -128,27 +159,30 @@ def edited(text: Column, following: Column) -> Column:
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_next(common.table(spark, sf_dir, "documents"))
-    made = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), "text", "next_text", edited(F.col("text"), F.col("next_text")).alias("edited"))
-    made = made.select(
-        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprint(F.col("text")).alias("fingerprint"), fingerprint(F.col("edited")).alias("edited_fingerprint"), fingerprint(F.col("next_text")).alias("next_fingerprint"),
-    )
-    near_edited, near_next = (likeness(F.col("fingerprint"), F.col(c)) for c in ("edited_fingerprint", "next_fingerprint"))
-    return made.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near_edited.alias("near_edited"), near_next.alias("near_next"))
+    docs = with_next(common.table(spark, sf_dir, "documents"), made=fingerprint)
+    rows = docs.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.col("made").alias("fingerprint"), "next_made",
+        edited(F.col("text"), F.col("next_text")).alias("edited"))
+    rows = rows.select(
+        "doc_id", "n_chars", "fingerprint", "next_made", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint(F.col("edited")).alias("edited_fingerprint"))
+    near_edited, near_next = (likeness(F.col("fingerprint"), F.col(c)) for c in ("edited_fingerprint", "next_made"))
+    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near_edited.alias("near_edited"), near_next.alias("near_next"))
 
 
 def _sql_fingerprint(text: str) -> str:
     runs = f"string_split(regexp_replace(line, '((?:[^ ]* ){{{LEAF_WORDS}}})', '\\1' || chr(1), 'g'), chr(1))"
-    return f"""sha256({text}) || '|' || (SELECT string_agg(left(md5(s), {SECTION_DIGITS}) || ':' || s, '|' ORDER BY n) FROM (
-      SELECT (i - 1) // {SECTION_LINES} AS n, string_agg(leaves, ';' ORDER BY i) AS s FROM (
-        SELECT i, array_to_string(list_transform({runs}, lambda run: left(md5(run), {LEAF_DIGITS})), ',') AS leaves
-        FROM (SELECT unnest(string_split({text}, chr(10))) AS line, generate_subscripts(string_split({text}, chr(10)), 1) AS i)
-      ) GROUP BY n))"""
+    node = f"md5(array_to_string(list_transform({runs}, lambda run: md5(run)), ','))"
+    short = f"array_to_string(list_transform({runs}, lambda run: left(md5(run), {LEAF_DIGITS})), ',')"
+    end = f"CASE WHEN left({node}, 1) IN {CUTS} THEN '|' ELSE ';' END"
+    written = f"array_to_string(list_transform(string_split({text}, chr(10)), lambda line: {node} || '=' || {short} || {end}), '')"
+    parts = f"list_transform(string_split(left({written}, -1), '|'), lambda s: md5(s) || ':' || s)"
+    nodes = f"array_to_string(list_transform({parts}, lambda s: left(s, {NODE_DIGITS})), ',')"
+    return f"sha256({nodes}) || '|' || array_to_string({parts}, '|')"
 
 
 def _sql_likeness(a: str, b: str) -> str:
-    bare = "list_distinct(string_split_regex(regexp_replace(regexp_replace({0}, '^[0-9a-f]*\\|', ''), '(^|\\|)[0-9a-f]*:', '\\1', 'g'), '[|;,]'))"
+    bare = f"list_distinct(string_split_regex(regexp_replace(regexp_replace({{0}}, '^[0-9a-f]*\\|', ''), '[0-9a-f]{{{{{NODE_DIGITS}}}}}[:=]', '', 'g'), '[|;,]'))"
     x, y = bare.format(a), bare.format(b)
     return f"CASE WHEN split_part({a}, '|', 1) = split_part({b}, '|', 1) THEN 1.0::DOUBLE ELSE len(list_intersect({x}, {y})) / greatest(len({x}), len({y}))::DOUBLE END"
 

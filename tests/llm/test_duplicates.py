@@ -1,6 +1,8 @@
 """Line dedup, near-duplicates, components and fingerprints against brute force."""
 
+import hashlib
 import random
+import time
 from itertools import combinations
 
 import numpy as np
@@ -148,6 +150,27 @@ def test_near_lines_follow_the_length(spark):
     assert got == wanted and sum(len(a) >= 100 for a, _ in wanted) > 15 and sum(len(a) < 20 for a, _ in wanted) >= 3
 
 
+def test_two_edits_anywhere_in_long_lines(spark):
+    """Few words, many words, and numbers of words about the bound between segments and runs."""
+    rng = random.Random(12)
+    made = []
+    for i in range(150):
+        n = rng.choice([1, 5, *range(17, 27), 60])
+        size = -(-110 // n)
+        line = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(max(1, size + rng.randint(-1, 2)))) for _ in range(n))
+        line += "z" * (100 - len(line))
+        other = line
+        for _ in range(2):
+            at = rng.choice([rng.randrange(len(other)), *[j for j, c in enumerate(other) if c == " "][:: max(1, n // 3)]])
+            other = other[:at] + rng.choice(["", "q", " ", other[at] + " "]) + other[at + 1 :]
+        if other != line and len(other) >= lines.LONG_CHARS:
+            made.append((line, other))
+    every = {x: i for i, x in enumerate(sorted({x for pair in made for x in pair}))}
+    found = lines.near_lines(spark.createDataFrame([(i, x) for x, i in every.items()], "id long, line string"))
+    got = {(r["a"], r["b"]) for r in found.collect()}
+    assert len(made) > 120 and all(tuple(sorted((every[a], every[b]))) in got for a, b in made)
+
+
 def test_no_python_in_line_dedup(spark):
     plan = lines.op1_line_dedup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan and "CartesianProduct" not in plan
@@ -236,15 +259,65 @@ def test_registers_merge_and_estimate():
     assert max(errors) < 0.17 and np.mean(errors) < 0.06
 
 
-def test_merkle_equals_sql_and_locates_edits(spark, documents, odd_rows):
-    text = "\n".join(f"paragraph {i} says some words of its own, number {i * i}, and then ends" for i in range(40))
-    other = text.replace("paragraph 21 says", "paragraph 21 denies")
-    df = spark.createDataFrame([(text, other), (text, text), ("", None), ("a", "b")], "a string, b string")
+def plain_fingerprint(text):
+    """The tree by hand: leaves into paragraphs, paragraphs into sections, sections into the root."""
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    done, section = [], []
+    for line in (text or "").split("\n"):
+        words = line.split(" ")
+        runs, step = [], merkle.LEAF_WORDS
+        for i in range(0, len(words), step):
+            run = " ".join(words[i : i + step])
+            runs.append(run + " " if i + step < len(words) else run)
+        hashes = [md5(r) for r in runs]
+        node = md5(",".join(hashes))
+        section.append(f"{node}={','.join(h[: merkle.LEAF_DIGITS] for h in hashes)}")
+        if node[0] in merkle.CUTS:
+            done.append(";".join(section))
+            section = []
+    done += [";".join(section)] if section else []
+    parts = [f"{md5(s)}:{s}" for s in done]
+    root = hashlib.sha256(",".join(p[: merkle.NODE_DIGITS] for p in parts).encode()).hexdigest()
+    return "|".join([root, *parts])
+
+
+def test_merkle_tree_by_hand(spark, odd_rows):
+    texts = [t for _, t, _, _ in odd_rows] + ["\n\n", " x", "x ", "a b c d e f", "a b c d e f ", "a b c d e f g", *("\n".join(["same line"] * n) for n in (1, 2, 40))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select("t", merkle.fingerprint(F.col("t")).alias("f")).collect()
+    assert [r["f"] for r in found] == [plain_fingerprint(r["t"]) for r in found]
+
+
+def test_merkle_locates_edits(spark):
+    lines = [f"paragraph {i} says some words of its own, number {i * i}, and then ends" for i in range(200)]
+    changed = lines[:90] + [lines[90].replace("says", "denies")] + lines[91:]
+    inserted = lines[:90] + ["one more line stands here"] + lines[90:]
+    df = spark.createDataFrame([tuple("\n".join(x) for x in (lines, y)) for y in (changed, inserted, lines)] + [("", None), ("a", "b")], "a string, b string")
     a, b = merkle.fingerprint(F.col("a")), merkle.fingerprint(F.col("b"))
-    rows = df.select(merkle.likeness(a, b).alias("l"), merkle.changed_sections(a, b).alias("c"), (a == b).alias("same")).collect()
-    assert rows[0]["c"] == [21 // merkle.SECTION_LINES] and 0.95 < rows[0]["l"] < 1 and not rows[0]["same"]
-    assert (rows[1]["l"], rows[1]["c"], rows[1]["same"]) == (1.0, [], True)
-    assert (rows[2]["l"], rows[2]["same"]) == (1.0, True) and rows[3]["l"] == 0.0
+    rows = df.select(a.alias("a"), b.alias("b")).select(
+        "a", "b", merkle.likeness(F.col("a"), F.col("b")).alias("l"), merkle.changed_sections(F.col("a"), F.col("b")).alias("new"),
+        merkle.changed_sections(F.col("b"), F.col("a")).alias("gone"), merkle.sections(F.col("b")).alias("parts")).collect()
+    for row, line in ((rows[0], changed[90]), (rows[1], inserted[90])):
+        assert 0.95 < row["l"] < 1 and row["a"] != row["b"]
+        assert len(row["new"]) <= 2 and len(row["gone"]) <= 2  # two only where the new line ends a section
+        node = plain_fingerprint(line).split(":")[1].split("=")[0]
+        assert any(node in row["parts"][i] for i in row["new"])
+        assert len(row["parts"]) > 12
+    assert len(rows[1]["new"]) == 1
+    assert (rows[2]["l"], rows[2]["new"], rows[2]["a"] == rows[2]["b"]) == (1.0, [], True)
+    assert rows[3]["l"] == 1.0 and rows[3]["a"] == rows[3]["b"] and rows[4]["l"] == 0.0
+
+
+def test_time_of_a_fingerprint_follows_the_lines(spark):
+    def seconds(n):
+        text = "\n".join(f"line {i} of a long text has some words" for i in range(n))
+        df = spark.createDataFrame([(text,)], "t string").select(merkle.likeness(merkle.fingerprint(F.col("t")), merkle.fingerprint(F.lower("t"))))
+        df.collect()
+        begun = time.perf_counter()
+        df.collect()
+        return time.perf_counter() - begun
+
+    assert seconds(16_000) < 16 * 6 * max(seconds(1_000), 0.05)  # a square would be 256 times as long
 
 
 def test_next_texts(documents, odd_rows):
