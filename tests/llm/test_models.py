@@ -41,6 +41,116 @@ def test_quality_learns_pairs_and_one_sided_labels():
     assert quality.learn(x[:0], y[:0]).score(fresh[:1])[0] == pytest.approx(0.5)
 
 
+def slow_boosting(x, y, how):
+    """The same model by loops over rows and cuts: (score of a row, pairs)."""
+    n, wide = len(x), len(x[0])
+    share = (sum(y) + 0.5) / (n + 1.0)
+    start = float(np.log(share / (1 - share)))
+    cuts = [sorted(set(np.quantile([r[i] for r in x], np.linspace(0, 1, quality.BINS + 1)[1:-1]).tolist())) for i in range(wide)]
+    bin_of = lambda i, v: sum(c <= v for c in cuts[i])
+    small_of = lambda i, v: bin_of(i, v) * quality.PAIR_BINS // (len(cuts[i]) + 1)
+    tables, total = [[0.0] * (len(c) + 1) for c in cuts], [start] * n
+
+    def gradients():
+        p = [1 / (1 + np.exp(-t)) for t in total]
+        return [a - b for a, b in zip(y, p)], [b * (1 - b) for b in p]
+
+    def gain(g, h):
+        return g * g / (h + how.ridge)
+
+    def best(cells):
+        """(gain, first cell on the right) of a list of (g, h)."""
+        found = (-np.inf, 0)
+        for at in range(1, len(cells)):
+            (lg, lh), (rg, rh) = ([sum(c[k] for c in side) for k in (0, 1)] for side in (cells[:at], cells[at:]))
+            if lh >= how.least_weight and rh >= how.least_weight:
+                won = gain(lg, lh) + gain(rg, rh) - gain(lg + rg, lh + rh)
+                if won > found[0] + 1e-12:
+                    found = (won, at)
+        return found
+
+    def leaf(cells):
+        return how.rate * sum(c[0] for c in cells) / (sum(c[1] for c in cells) + how.ridge)
+
+    def cells_of(keys, size):
+        g, h = gradients()
+        cells = [[0.0, 0.0] for _ in range(size)]
+        for k, a, b in zip(keys, g, h):
+            cells[k][0] += a
+            cells[k][1] += b
+        return cells
+
+    for _ in range(how.rounds):
+        for i in range(wide):
+            keys = [bin_of(i, r[i]) for r in x]
+            cells, edges = cells_of(keys, len(tables[i])), [0, len(tables[i])]
+            for _ in range(2):
+                won, at, first = max((*best(cells[a:b]), a) for a, b in zip(edges, edges[1:]))
+                if won <= 0:
+                    break
+                edges = sorted([*edges, first + at])
+            step = [leaf(cells[a:b]) for a, b in zip(edges, edges[1:]) for _ in range(a, b)]
+            tables[i] = [t + s for t, s in zip(tables[i], step)]
+            total = [t + step[k] for t, k in zip(total, keys)]
+
+    def pair_tree(a, b):
+        width = quality.PAIR_BINS
+        flat = cells_of([small_of(a, r[a]) * width + small_of(b, r[b]) for r in x], width * width)
+        grid = [flat[i * width : (i + 1) * width] for i in range(width)]
+        across = lambda rows: [[sum(r[j][k] for r in rows) for k in (0, 1)] for j in range(width)]
+        won, at = best([[sum(c[k] for c in row) for k in (0, 1)] for row in grid])
+        halves = [(0, at), (at, width)] if won > 0 else [(0, width)]
+        all_won, step = max(won, 0.0), [[0.0] * width for _ in range(width)]
+        for first, end in halves:
+            cells = across(grid[first:end])
+            won, cut = best(cells)
+            for c0, c1 in [(0, cut), (cut, width)] if won > 0 else [(0, width)]:
+                for i in range(first, end):
+                    step[i][c0:c1] = [leaf(cells[c0:c1])] * (c1 - c0)
+            all_won += max(won, 0.0)
+        return all_won, step
+
+    chosen = sorted((-pair_tree(a, b)[0], a, b) for a in range(wide) for b in range(a + 1, wide))[: how.pairs]
+    pairs = {(a, b): np.zeros((quality.PAIR_BINS,) * 2) for _, a, b in chosen}
+    for _ in range(how.pair_rounds):
+        for a, b in pairs:
+            step = np.array(pair_tree(a, b)[1])
+            pairs[a, b] += step
+            total = [t + step[small_of(a, r[a]), small_of(b, r[b])] for t, r in zip(total, x)]
+
+    def score(row):
+        own = start + sum(tables[i][bin_of(i, v)] for i, v in enumerate(row))
+        own += sum(t[small_of(a, row[a]), small_of(b, row[b])] for (a, b), t in pairs.items())
+        return 1 / (1 + np.exp(-own))
+
+    return score, list(pairs)
+
+
+def test_quality_equals_slow_boosting():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.random((160, 3)), 2)
+    y = (((x[:, 0] > 0.4) ^ (x[:, 1] > 0.6)) | (x[:, 2] > 0.9)).astype(float)
+    how = quality.Boosting(rounds=4, pair_rounds=3, pairs=2)
+    model, (score, pairs) = quality.learn(x, y, how), slow_boosting(x.tolist(), y.tolist(), how)
+    assert [p[:2] for p in model.pairs] == pairs
+    fresh = np.round(rng.random((100, 3)), 3)
+    assert model.score(fresh).tolist() == pytest.approx([score(r) for r in fresh.tolist()], abs=1e-9)
+
+
+def test_quality_query_scores_are_plain_sums(spark):
+    """Every score of the query against its model's tables, added up entry by entry."""
+    found = common.stored(quality.features(common.table(spark, SMALL, "documents")), "test-features")
+    model = quality.fit(found, quality.training_labels(spark, SMALL))
+    rows = {r["doc_id"]: r["features"] for r in found.collect()}
+    scored = {r["doc_id"]: r["score"] for r in quality.op2_quality(spark, SMALL).collect()}
+    assert scored.keys() == rows.keys()
+    for doc_id, values in rows.items():
+        bins = [sum(c <= v for c in cuts) for cuts, v in zip(model.cuts, values)]
+        total = model.intercept + sum(t[b] for t, b in zip(model.tables, bins))
+        total += sum(t[model.coarse[a][bins[a]], model.coarse[b][bins[b]]] for a, b, t in model.pairs)
+        assert scored[doc_id] == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)
+
+
 def test_quality_of_odd_rows(spark, documents, odd_rows):
     found = quality.features(documents(odd_rows))
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (7, None), (6, 0), (99, 1)], "doc_id long, label int")
@@ -76,6 +186,30 @@ def test_language_scores_equal_plain_bayes(documents):
     assert sum((b < language.BUCKETS).sum() for b in orders) == 3 + 2 + 1 and bounds.tolist() == [0, 3]
 
 
+def test_language_counts_by_hand(documents):
+    """Every count of the table from own loops over characters."""
+    rows = [(1, "Aab é1b", "x", None), (2, "bbc bb", "y", None), (3, "", "x", None), (4, None, "y", None), (5, "ΣΑΣ 日本", "z", None)]
+    model = language.fit(documents(rows))
+    assert model.languages == ["x", "y", "z"]
+
+    def buckets(text):
+        plain = [c.lower() if c.isalpha() else " " for c in text or ""]
+        for n in language.ORDERS:
+            for i in range(len(plain) - n + 1):
+                key = 0
+                for k, c in enumerate(plain[i : i + n], 1):
+                    key = (key * 0x01000193 + ord(c) + k) % 2**32
+                yield (key * 0x9E3779B1 % 2**32) >> 18
+
+    for at, name in enumerate(model.languages):
+        counts = np.full(language.BUCKETS, language.SMOOTHING)
+        for _, text, lang, _ in rows:
+            for b in buckets(text) if lang == name else ():
+                counts[b] += 1
+        assert model.table[at, : language.BUCKETS].tolist() == pytest.approx(np.log(counts / counts.sum()).tolist(), abs=1e-5)
+    assert np.exp(model.priors).tolist() == pytest.approx([2 / 5, 2 / 5, 1 / 5])
+
+
 def test_language_of_odd_rows(documents, odd_rows):
     got = language.predict(documents(odd_rows), language.fit(documents(odd_rows))).collect()
     assert len(got) == len(odd_rows)
