@@ -1,7 +1,9 @@
 """Session settings and the shared folder for checkpoints and scratch tables."""
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,19 +43,24 @@ def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     A machine-local folder is only acceptable when driver and executors are
-    one process, so anything but a local master must set the option.
+    one process, so anything but a local master must set the option. Under a
+    local master without it, a folder of this process is made, named in the
+    option from then on, and removed when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    spark.conf.set("spark.checkpoint.dir", _local_root())
     return _local_root()
 
 
 @functools.cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="pacewell-")
+    root = tempfile.mkdtemp(prefix="pacewell-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
