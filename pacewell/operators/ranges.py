@@ -1,56 +1,85 @@
 """Instant and range lookups on a grid of steps.
 
 At each step a range vector holds the samples of a series in the width before
-it, open at the start and closed at the end. What is asked of one depends on
-its first and its last sample only, if each sample carries its number and the
-increase so far. Both are found by one sort: samples and probes (the two ends
-of each step's range) stand in one order, and a probe takes the sample before
-or after it.
-
-A series is cut into slices no narrower than the width; a slice gets its own
-samples and those of the slice before, which is all that its steps can reach.
-A task then orders two slices of a series, however long the series is, and
-each sample moves twice.
+it, open at the start and closed at the end. Steps and widths are whole panes,
+of as many seconds as divide both. Samples are ordered only inside a pane of
+their series, and where just the last one is asked for not even there; a pane
+is one row with its first and last sample, their number and the increase.
+
+Panes and probes (the two ends of each step's range) then stand in one order,
+and a probe takes the pane before or after it. A series is cut into slices no
+narrower than the width; a slice gets its own panes and those of the slice
+before, which is all that its steps can reach. A task orders two slices of
+panes of a series, however long the series is.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
 
 
-def _probed(samples: DataFrame, keys, ts: str, value: str, step: int, width: int, ties, slice_seconds: int | None) -> DataFrame:
-    """(keys, at, first, last) of each step whose range holds samples; ``at``, in microseconds, ends the range."""
+def _probed(samples: DataFrame, keys, ts: str, value: str, step: int, width: int, ties, slice_seconds: int | None, ordered: bool = True) -> DataFrame:
+    """(keys, at, n, total, first, last) of each step whose range holds samples; ``at``, in microseconds, ends the range.
+
+    Without ``ordered`` only ``last`` is meant, and no sample is moved.
+    """
     size = (slice_seconds or max(width, 64 * step)) * MICROS
     if size < width * MICROS or size % (step * MICROS):
         raise ValueError("a slice must be as wide as the range and hold whole steps")
+    pane = math.gcd(step, width) * MICROS
     labels = {k: F.coalesce(k, F.lit("")) for k in keys if samples.schema[k].dataType.typeName() == "string"}
     known = samples.filter(F.col(value).isNotNull() & F.col(ts).isNotNull()).withColumns(labels)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     own = known.select(*keys, us.alias("_us"), *[F.col(t).alias(f"_tie_{i}") for i, t in enumerate(ties)], F.col(value).alias("_v"))
-    # A slice is open at the start: a sample on a step belongs to the range that ends there.
-    of = -F.floor(-F.col("_us") / size)
-    copies = own.withColumn("_slice", F.explode(F.array(of, of + 1)))
-    inside = Window.partitionBy(*keys, "_slice").orderBy("_us", *[f"_tie_{i}" for i in range(len(ties))], "_v")
-    before = F.lag("_v").over(inside)
-    grown = F.when(before.isNull(), 0).when(F.col("_v") < before, F.col("_v")).otherwise(F.col("_v") - before)
-    rows = copies.withColumns({"_n": F.row_number().over(inside), "_grown": grown})
-    so_far = F.sum("_grown").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    sample = F.struct(F.col("_n").alias("n"), F.col("_us").alias("us"), F.col("_v").alias("v"), so_far.alias("total"))
-    taken = rows.select(*keys, "_slice", "_us", F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_at"), "_n", sample.alias("_sample"))
+    # A pane is open at the start: a sample on a step belongs to the range that ends there.
+    own = own.withColumn("_pane", -F.floor(-F.col("_us") / pane))
+    order = ["_us", *[f"_tie_{i}" for i in range(len(ties))], "_v"]
+    sample = F.struct(F.col("_us").alias("us"), F.col("_v").alias("v"))
+
+    def grown(before: Column, now: Column) -> Column:
+        return F.when(before.isNull(), 0).when(now < before, now).otherwise(now - before)
+
+    if ordered:
+        inside = Window.partitionBy(*keys, "_pane").orderBy(*order)
+        own = own.withColumn("_grown", grown(F.lag("_v").over(inside), F.col("_v")))
+    else:
+        own = own.withColumn("_grown", F.lit(0))
+    panes = own.groupBy(*keys, "_pane").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_grown").alias("_inner"),
+        F.min_by(sample, F.struct(*order)).alias("_first"), F.max_by(sample, F.struct(*order)).alias("_last"))
+    # A pane is in the ranges that end in its slice of panes or in the next one.
+    per = size // pane
+    of = -F.floor(-F.col("_pane") / per)
+    copies = panes.withColumn("_slice", F.explode(F.array(of, of + 1)))
+    along = Window.partitionBy(*keys, "_slice").orderBy("_pane")
+    bridge = grown(F.lag("_last.v").over(along), F.col("_first.v"))
+    copies = copies.withColumn("_bridge", bridge).withColumn("_grown", F.col("_bridge") + F.col("_inner"))
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Up to a pane's first sample, and up to its last one: what a range from one pane to another has grown by is their difference.
+    so_far = copies.withColumns({"_count": F.sum("_n").over(upto), "_total": F.sum("_grown").over(upto)})
+    taken = so_far.select(
+        *keys, "_slice", "_pane", F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_at"),
+        F.struct(F.col("_pane").alias("pane"), (F.col("_count") - F.col("_n")).alias("n"), F.col("_first").alias("at"),
+                 (F.col("_total") - F.col("_inner")).alias("total")).alias("_head"),
+        F.struct(F.col("_pane").alias("pane"), F.col("_count").alias("n"), F.col("_last").alias("at"), F.col("_total").alias("total")).alias("_tail"))
     ends = F.sequence((F.col("_slice") - 1) * size + step * MICROS, F.col("_slice") * size, F.lit(step * MICROS))
     steps = copies.select(*keys, "_slice").distinct().withColumn("_at", F.explode(ends))
-    # After the samples at its own time: kind 1 takes the one before it, kind 2 the one behind it.
-    nothing = F.lit(None).cast(taken.schema["_sample"].dataType)
-    probes = [steps.select(*keys, "_slice", (F.col("_at") - back * MICROS).alias("_us"), F.lit(kind).alias("_kind"), "_at",
-                           F.lit(None).cast("int").alias("_n"), nothing.alias("_sample")) for kind, back in ((1, 0), (2, width))]
-    along = Window.partitionBy(*keys, "_slice").orderBy("_us", "_kind", "_n")
+    # Kind 1 stands behind the pane that ends with the range and takes the last one, kind 2 behind the pane before the range and takes the next one.
+    nothing = {c: F.lit(None).cast(taken.schema[c].dataType).alias(c) for c in ("_head", "_tail")}
+    probes = [steps.select(*keys, "_slice", F.floor((F.col("_at") - back * MICROS) / pane).alias("_pane"), F.lit(kind).alias("_kind"), "_at",
+                           nothing["_head"], nothing["_tail"]) for kind, back in ((1, 0), (2, width))]
+    line = Window.partitionBy(*keys, "_slice").orderBy("_pane", "_kind")
     found = taken.unionByName(probes[0]).unionByName(probes[1]).withColumns({
-        "_last": F.last("_sample", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "_first": F.first("_sample", ignorenulls=True).over(along.rowsBetween(Window.currentRow, Window.unboundedFollowing))})
+        "_tail": F.last("_tail", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_head": F.first("_head", ignorenulls=True).over(line.rowsBetween(Window.currentRow, Window.unboundedFollowing))})
     both = found.filter("_kind > 0").groupBy(*keys, "_slice", F.col("_at").alias("at")).agg(
-        F.max(F.when(F.col("_kind") == 2, F.col("_first"))).alias("first"), F.max(F.when(F.col("_kind") == 1, F.col("_last"))).alias("last"))
-    return both.filter(F.col("first.n") <= F.col("last.n")).drop("_slice")
+        F.max(F.when(F.col("_kind") == 2, F.col("_head"))).alias("head"), F.max(F.when(F.col("_kind") == 1, F.col("_tail"))).alias("tail"))
+    return both.filter(F.col("head.pane") <= F.col("tail.pane")).select(
+        *keys, "at", (F.col("tail.n") - F.col("head.n")).alias("n"), (F.col("tail.total") - F.col("head.total")).alias("total"),
+        F.col("head.at").alias("first"), F.col("tail.at").alias("last"))
 
 
 def _at(column: str = "at") -> Column:
@@ -68,8 +97,7 @@ def range_increase(samples: DataFrame, keys, ts: str, value: str, step: int, wid
     fewer than two samples, or of samples at one time, have no result.
     """
     found = _probed(samples, keys, ts, value, step, width, ties, slice_seconds)
-    n = F.col("last.n") - F.col("first.n") + 1
-    raw = (F.col("last.total") - F.col("first.total")).cast("double")
+    n, raw = F.col("n"), F.col("total").cast("double")
     seconds = (F.col("last.us") - F.col("first.us")) / float(MICROS)
     rows = found.select(
         *keys, "at", n.alias("n_samples"), raw.alias("_raw"), seconds.alias("_span"), F.col("first.v").cast("double").alias("_v"),
@@ -89,7 +117,7 @@ def range_increase(samples: DataFrame, keys, ts: str, value: str, step: int, wid
 def last_within(samples: DataFrame, keys, ts: str, value: str, step: int, look_back: int, ties=(),
                 slice_seconds: int | None = None) -> DataFrame:
     """(keys, ts, value): the last sample of each series at each step, if it is less than ``look_back`` seconds old."""
-    found = _probed(samples, keys, ts, value, step, look_back, ties, slice_seconds)
+    found = _probed(samples, keys, ts, value, step, look_back, ties, slice_seconds, ordered=False)
     return found.select(*keys, _at(), F.col("last.v").alias("value"))
 
 

@@ -85,3 +85,12 @@ def test_slices_must_fit(spark, rows):
     with pytest.raises(ValueError):
         ranges.last_within(df, ["job"], "ts", "up", 15, 300, (), 310)
     assert ranges.range_increase(df.limit(0), ["job"], "ts", "up", 15, 300).count() == 0
+
+
+def test_samples_become_panes_before_they_are_moved_on(spark, rows):
+    """A slice of raw samples grows with their density, a slice of panes does not."""
+    df = spark.createDataFrame(rows, SCHEMA)
+    last = ranges.last_within(df, ["job"], "ts", "up", 15, 300, ["n"])._jdf.queryExecution().executedPlan().toString()
+    grown = ranges.range_increase(df, ["job"], "ts", "up", 15, 300, ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in last and "partial_max_by" in grown
+    assert not [line for line in (last + grown).splitlines() if "Window" in line and "_us" in line and "_pane" not in line]
