@@ -129,11 +129,12 @@ def records_of_lines(lines: DataFrame) -> DataFrame:
     """``csv_text`` in its lenient form, from the ``numbered`` lines of whole files, as a micro-batch has them.
 
     Lines are read several times: keep them. There is one projection for each
-    distinct header; the headers themselves are as many rows as files.
+    distinct header; the headers themselves are as many rows as files, and go
+    to the lines: moved by their file, all lines of one would be in one task.
     """
     firsts = lines.filter("_first").groupBy(SOURCE_FILE).agg(F.min("_at").alias("_at"))
-    headers = lines.join(firsts, [SOURCE_FILE, "_at"]).select(SOURCE_FILE, F.col(LINE).alias("_header"), F.col("_at").alias("_header_at"))
-    rows = lines.join(headers, SOURCE_FILE).filter(F.col("_at") != F.col("_header_at"))
+    headers = lines.join(F.broadcast(firsts), [SOURCE_FILE, "_at"]).select(SOURCE_FILE, F.col(LINE).alias("_header"), F.col("_at").alias("_header_at"))
+    rows = lines.join(F.broadcast(headers), SOURCE_FILE).filter(F.col("_at") != F.col("_header_at"))
     parsed = []
     for found in headers.select("_header").distinct().collect():
         line, own = found["_header"], rows.filter(F.col("_header") == found["_header"])

@@ -60,7 +60,7 @@ def intake_stream(records: DataFrame, good_path: str, bad_path: str, checkpoint:
             typed = coerce(batch if lines is None else records_of_lines(lines), strict=False)
             # The two filters read the micro-batch twice; a cached copy of
             # records would cost more than the second, cheap pass.
-            good, bad = split_batches(typed, [SOURCE_FILE], profile) if whole_files else split_valid(typed, profile)
+            good, bad = split_batches(typed, [SOURCE_FILE], profile, few=True) if whole_files else split_valid(typed, profile)
             for rows, path in ((performance_rows(good), good_path), (bad, bad_path)):
                 rows.write.mode("overwrite").parquet(batch_path(path, batch_id))
         finally:

@@ -168,3 +168,12 @@ def test_batch_limit(golden):
     assert intake.oversized_groups(golden, ["athlete_id"], None).isEmpty()
     with pytest.raises(ValidationError):
         intake.require_batch_size(golden.limit(0), ["athlete_id"], 5)
+
+
+def test_values_are_parsed_before_rows_are_told_apart(spark):
+    """A filter on parsed columns that moves below their projection parses them again at each mention."""
+    text = spark.range(3).select(*[F.col("id").cast("string").alias(c) for c in RECORD_COLUMNS])
+    for rows in intake.split_valid(intake.coerce(text, strict=False)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert [line for line in plan.splitlines() if "Filter" in line]
+        assert not [line for line in plan.splitlines() if "Filter" in line and "cast(" in line]
