@@ -171,6 +171,26 @@ def test_two_edits_anywhere_in_long_lines(spark):
     assert len(made) > 120 and all(tuple(sorted((every[a], every[b]))) in got for a, b in made)
 
 
+def test_scattered_edits_up_to_the_limit_in_long_lines(spark):
+    """As many edits as the limit allows, at even places and at any, so that no words in a row need be alike."""
+    rng = random.Random(21)
+    made = []
+    for size in [100, 101, 119, 120, 139, 159, 160, 199, 260, 399, 400, 700, 1500]:
+        for even in (True, False):
+            line = "".join(rng.choice("abcdefghijklmnoprstu    ") for _ in range(size - 1)) + "z"
+            edits, other = size // 20, line
+            for e in reversed(range(edits)):
+                at = (size * e + size // 2) // edits if even else rng.randrange(len(other))
+                other = other[:at] + rng.choice(["", "Q", other[at] + "Q"]) + other[at + 1 :]
+            most = max(2, min(len(line), len(other)) // 20)
+            if other != line and min(len(line), len(other)) >= lines.LONG_CHARS and abs(len(line) - len(other)) <= most and distance(line, other) <= most:
+                made.append((line, other))
+    every = {x: i for i, x in enumerate(sorted({x for pair in made for x in pair}))}
+    found = lines.near_lines(spark.createDataFrame([(i, x) for x, i in every.items()], "id long, line string"))
+    got = {(r["a"], r["b"]) for r in found.collect()}
+    assert len(made) > 15 and got == {tuple(sorted((every[a], every[b]))) for a, b in made}
+
+
 def test_no_python_in_line_dedup(spark):
     plan = lines.op1_line_dedup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan and "CartesianProduct" not in plan
