@@ -185,6 +185,9 @@ def test_scattered_edits_up_to_the_limit_in_long_lines(spark):
             most = max(2, min(len(line), len(other)) // 20)
             if other != line and min(len(line), len(other)) >= lines.LONG_CHARS and abs(len(line) - len(other)) <= most and distance(line, other) <= most:
                 made.append((line, other))
+    # 23 words in 160 characters, every third one changed: no three in a row are alike.
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(23)]
+    made.append((" ".join(words), " ".join("Q" + w[1:] if i % 3 == 2 else w for i, w in enumerate(words))))
     every = {x: i for i, x in enumerate(sorted({x for pair in made for x in pair}))}
     found = lines.near_lines(spark.createDataFrame([(i, x) for x, i in every.items()], "id long, line string"))
     got = {(r["a"], r["b"]) for r in found.collect()}
