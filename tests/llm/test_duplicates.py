@@ -194,6 +194,52 @@ def test_scattered_edits_up_to_the_limit_in_long_lines(spark):
     assert len(made) > 15 and got == {tuple(sorted((every[a], every[b]))) for a, b in made}
 
 
+def test_filters_miss_no_hash_and_are_few_rows(spark):
+    """A broadcast row holds many words, and most hashes that are not in a filter are dropped."""
+    keys = spark.range(6000).select(F.xxhash64("id").alias("key"))
+    words = lines._words(6000)
+    held = lines._held(keys.unionByName(keys.limit(0).unionByName(spark.range(500).select(F.xxhash64("id").alias("key")))), words).collect()
+    assert len(held) == -(-words // (1 << lines.BUCKET_BITS)) and all(len(r["bits"]) == len(r["shared"]) == min(words, 1 << lines.BUCKET_BITS) for r in held)
+    held = spark.createDataFrame(held, "bucket int, bits array<long>, shared array<long>")
+    tried = spark.range(20000).select("id", F.xxhash64("id").alias("key")).withColumn("bucket", lines._bucket(words)).join(held, "bucket")
+    found = tried.select("id", lines._in("bits", words).alias("in"), lines._in("shared", words).alias("twice")).collect()
+    assert len(found) == 20000 and all(r["in"] for r in found if r["id"] < 6000) and all(r["twice"] for r in found if r["id"] < 500)
+    assert sum(r["in"] for r in found) < 8000 and sum(r["twice"] for r in found) < 800
+
+
+def test_long_lines_of_neighbouring_classes_and_moved_blocks(spark):
+    """The shorter line's length is of the class below, and all its edits stand before the block that is alike."""
+    rng = random.Random(33)
+    made = []
+    for bound in [lines.CLASS_RATIO**k for k in range(21, 32)]:
+        size = int(bound)
+        base = "".join(rng.choice("abcdefghéñ😀    ") for _ in range(size - 1)) + "z"
+        for edits in (1, size // 20):
+            made.append((base, "".join(rng.choice("QRS") for _ in range(edits)) + base))
+            step = size // edits
+            made.append((base, "".join(c + ("Q" if i % step == 0 and i // step < edits else "") for i, c in enumerate(base))))
+    every = {x: i for i, x in enumerate(sorted({x for pair in made for x in pair}))}
+    found = lines.near_lines(spark.createDataFrame([(i, x) for x, i in every.items()], "id long, line string"))
+    got = {(r["a"], r["b"]) for r in found.collect()}
+    assert len(made) == 44 and {tuple(sorted((every[a], every[b]))) for a, b in made} <= got
+
+
+def test_lines_that_are_not_valid_text(spark):
+    rows = spark.createDataFrame([(1, "a" * 60 + "bcdefghijk" * 8), (2, "a" * 60 + "bcdefghijk" * 7 + "bcdefghijX")], "id long, line string")
+    odd = rows.select(F.col("id") + 10, F.expr("cast(concat(cast(line as binary), X'ff') as string)"))
+    assert {(r["a"], r["b"]) for r in lines.near_lines(rows.union(odd)).collect()} == {(1, 2), (1, 11), (1, 12), (2, 11), (2, 12), (11, 12)}
+
+
+def test_distance_of_what_differs(spark):
+    rng, rows = random.Random(5), []
+    for _ in range(300):
+        a = "".join(rng.choice("ab é") for _ in range(rng.randint(1, 40)))
+        rows.append((a, mutated(rng, a, rng.randint(0, 5))))
+    df = spark.createDataFrame(rows + [("", ""), ("a", "aa"), ("aba", "ababa")], "a string, b string")
+    less = lines.differing(F.col("a"), F.col("b"), lambda a, b: F.levenshtein(a, b))
+    assert df.where(less != F.levenshtein("a", "b")).isEmpty()
+
+
 def test_no_python_in_line_dedup(spark):
     plan = lines.op1_line_dedup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan and "CartesianProduct" not in plan
