@@ -224,6 +224,29 @@ def test_long_lines_of_neighbouring_classes_and_moved_blocks(spark):
     assert len(made) == 44 and {tuple(sorted((every[a], every[b]))) for a, b in made} <= got
 
 
+def test_long_lines_meet_in_rounds_with_filters_of_their_own(spark, monkeypatch):
+    """However many blocks there are, a filter holds those of one round; pairs of lines in different rounds are found, each once."""
+    assert lines.rounds({3: 5, 1: 4, 2: 6, 4: 30, 5: 1}, 10) == [[1, 2], [3], [4], [5]] and lines.rounds({}, 10) == []
+    rng = random.Random(34)
+    every = []
+    for bound in [lines.CLASS_RATIO**k for k in range(21, 29)]:
+        size = int(bound)
+        base = "".join(rng.choice("abcdefgh    ") for _ in range(size - 1)) + "z"
+        every += [base, "Q" * (size // 20) + base, base[: size // 2] + "R" + base[size // 2 :], base[:-1] + "y"]
+    table = spark.createDataFrame(list(enumerate(every)), "id long, line string").withColumn("length", F.length("line"))
+    wanted = sorted((r["a"], r["b"]) for r in lines.long_candidates(table).collect())
+    sizes, held = [], lines._held
+
+    def counted(keys, words, *more):
+        sizes.append(keys.count())
+        return held(keys, words, *more)
+
+    monkeypatch.setattr(lines, "_held", counted)
+    monkeypatch.setattr(lines, "ROUND_BLOCKS", 120)
+    assert sorted((r["a"], r["b"]) for r in lines.long_candidates(table).collect()) == wanted and len(wanted) >= 8 * 5
+    assert len(sizes) >= 6 and max(sizes[::2]) <= 120
+
+
 def test_lines_that_are_not_valid_text(spark):
     rows = spark.createDataFrame([(1, "a" * 60 + "bcdefghijk" * 8), (2, "a" * 60 + "bcdefghijk" * 7 + "bcdefghijX")], "id long, line string")
     odd = rows.select(F.col("id") + 10, F.expr("cast(concat(cast(line as binary), X'ff') as string)"))
