@@ -18,7 +18,7 @@ from pacewell.operators.timeline import closing_state
 from pacewell.plans import model as models
 from pacewell.plans.published import CurrentModel
 from pacewell.plans.scoring import score_with
-from pacewell.settings import LATENCY_BOUNDS, MODEL_VERSION, AlertRule
+from pacewell.settings import LATENCY_BOUNDS, MODEL_VERSION, SERVING_DEFAULTS, AlertRule
 from pacewell.sources.files import LINE, SOURCE_FILE, csv_lines, json_reader, json_records, numbered, records_of_lines
 from pacewell.sources.tables import log_rows, performance_rows, prediction_rows
 
@@ -133,13 +133,17 @@ def published_scoring_stream(requests: DataFrame, root: str, log_path: str, chec
     """``scoring_stream`` that looks for the current version before each micro-batch.
 
     A micro-batch is scored by one version, and its rows carry it; a repeated
-    one replaces its rows, by the version that is current then.
+    one replaces its rows, by the version that is current then. One that has
+    ``partitions`` already is not shuffled.
     """
     current = CurrentModel(requests.sparkSession, root)
+    # A micro-batch is given to ``write`` row by row, so the scan reads what the log keeps and no more.
+    requests = requests.select(*[c for c in requests.columns if c in ("athlete_id", "prediction_date", *SERVING_DEFAULTS)])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         version, model = current.get()
-        rows = prediction_rows(score_with(model, batch, fill_values, partitions), version=version)
+        few = partitions is not None and batch.rdd.getNumPartitions() < partitions
+        rows = prediction_rows(score_with(model, batch, fill_values, partitions if few else None), version=version)
         log_rows(rows).write.mode("overwrite").parquet(batch_path(log_path, batch_id))
 
     return (requests.writeStream.foreachBatch(write)

@@ -119,6 +119,26 @@ def test_a_stream_looks_before_each_batch(spark, fitted, requests, tmp_path):
         assert sorted(r["performance_score"] for r in rows if r["model_version"] == f"v{i}") == scores(model, requests)
 
 
+def test_a_stream_reads_what_it_logs_and_deals_few_partitions_only(spark, fitted, requests, tmp_path, monkeypatch):
+    root, seen, score_with = str(tmp_path / "models"), [], jobs.score_with
+
+    def watched(model, batch, fill_values, partitions):
+        seen.append((set(batch.columns), partitions))
+        return score_with(model, batch, fill_values, partitions)
+
+    monkeypatch.setattr(jobs, "score_with", watched)
+    published.publish(fitted[0], root, "v")
+    requests.repartition(3).write.option("maxRecordsPerFile", 1000).parquet(str(tmp_path / "in"))
+    for partitions in (1, 5000):
+        arriving = spark.readStream.schema(requests.schema).parquet(str(tmp_path / "in"))
+        log, checkpoint = (str(tmp_path / f"{n}{partitions}") for n in ("log", "checkpoint"))
+        jobs.published_scoring_stream(arriving, root, log, checkpoint, partitions=partitions).awaitTermination()
+        rows = tables.load_predictions(spark, log).select("performance_score").collect()
+        assert sorted(r[0] for r in rows) == scores(fitted[0], requests)
+    assert [p for _, p in seen] == [None, 5000]
+    assert all(not columns & {"record_key", "record_date", "performance_score"} for columns, _ in seen)
+
+
 def test_training_publishes_what_it_logs(spark, records, tmp_path):
     root, runs = str(tmp_path / "models"), str(tmp_path / "runs")
     small = training.TrainingSettings(key_columns=("record_key",), forest=ForestSettings(trees=2, depth=3))
