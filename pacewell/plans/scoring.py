@@ -34,7 +34,7 @@ def score_with(model, requests: DataFrame, fill_values=None, partitions: int | N
     ready = features_for(requests, fill_values)
     if partitions is not None:
         ready = models.dealt(ready, partitions, FEATURES)
-    return models.score(model, ready)
+    return models.score_in_batches(model, ready)
 
 
 def answers(rows: DataFrame) -> DataFrame:
